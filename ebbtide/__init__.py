@@ -1 +1,9 @@
 """Customer-retention analytics as lazy Spark DataFrame operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the plan, so that executors need no
+# copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -112,18 +112,16 @@ def carry_forward(
     )
     both = left.withColumn("_row", F.lit(None).cast(right.schema["_row"].dataType)).unionByName(right)
     both = both.withColumn("_cell", cell)
-    edges = both.filter(F.col("_kind") == 0).groupBy("_cell").agg(F.max_by(carried, position).alias("_last"))
-    # One row per slice: a slice without marks still needs the carry from its left.
-    slices = both.select("_cell").distinct().join(edges, "_cell", "left")
-    carry = slices.select(
-        "_cell",
-        F.last("_last", ignorenulls=True)
-        .over(Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
-    )
+    # The last mark of a slice carries into every slice up to the next one with marks.
+    edges = marks.groupBy(cell.alias("_cell")).agg(F.max_by(carried, position).alias("_carry"))
+    upcoming = F.lead("_cell").over(Window.orderBy("_cell"))
+    carry = edges.select(
+        "_carry", F.explode(F.sequence(F.col("_cell") + 1, F.coalesce(upcoming, F.lit(cells).cast("bigint") + 1)))
+        .alias("_cell"))
     inside = Window.partitionBy("_cell").orderBy(position, "_kind").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return (
-        both.join(carry, "_cell")
+        both.join(carry, "_cell", "left")
         .withColumn("_hit", F.coalesce(F.last(carried, ignorenulls=True).over(inside), F.col("_carry")))
         .filter(F.col("_kind") == 1)
         .select(position, "_row.*", F.col("_hit").alias(carried))

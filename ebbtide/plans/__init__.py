@@ -12,8 +12,8 @@ _MODULES = (
 
 def load():
     """Import every plan module once; returns (queries, oracles)."""
-    from ebbtide.plans import registry
+    from ebbtide.plans import oracle, registry
 
     for module in _MODULES:
         importlib.import_module(f"ebbtide.plans.{module}")
-    return registry.QUERIES, registry.ORACLES
+    return registry.QUERIES, {name: oracle.with_views(sql) for name, sql in registry.ORACLES.items()}

@@ -1 +1,9 @@
-"""To come."""
+"""Lookup queries."""
+
+from ebbtide.plans.oracle import VIEWS, u
+
+VIEWS["scored"] = f"""select *, case when churn_probability >= 0.5e0 then 1e0 else 0e0 end as prediction from (
+ select *, least(0.99e0, greatest(0.01e0, 0.15e0
+  + case when contract_type='Month-to-month' then 0.35e0 else 0e0 end
+  + case when tenure_months < 12 then 0.20e0 else 0e0 end + ({u('customer_id', 'score')} - 0.5e0) * 0.30e0))
+  as churn_probability from customers)"""

@@ -57,20 +57,26 @@ select customer_id, churn, timestamp '2025-06-01 00:00:00' as label_date,
 from (select customer_id, churn, {u('customer_id', 'split')} as u from customers) x"""
 
 
+def _named(text: str) -> list[str]:
+    return [name for name in VIEWS if re.search(rf"\b{name}\b", text)]
+
+
 def with_views(sql: str) -> str:
-    """Prefix the SQL with the views it names, in definition order."""
-    needed: set[str] = set()
-    todo = [sql]
-    while todo:
-        text = todo.pop()
-        for name, body in VIEWS.items():
-            if name not in needed and re.search(rf"\b{name}\b", text):
-                needed.add(name)
-                todo.append(body)
-    if not needed:
-        return sql.strip()
-    head = ",\n".join(f"{name} as ({VIEWS[name].strip()})" for name in VIEWS if name in needed)
+    """Prefix the SQL with the views it names, each after the views it needs."""
+    ordered: list[str] = []
+
+    def visit(name: str) -> None:
+        if name in ordered:
+            return
+        for other in _named(VIEWS[name]):
+            if other != name:
+                visit(other)
+        ordered.append(name)
+
+    for name in _named(sql):
+        visit(name)
     body = sql.strip()
-    if body[:5].lower() == "with ":
-        return f"with {head},\n{body[5:]}"
-    return f"with {head}\n{body}"
+    if not ordered:
+        return body
+    head = ",\n".join(f"{name} as ({VIEWS[name].strip()})" for name in ordered)
+    return f"with {head},\n{body[5:]}" if body[:5].lower() == "with " else f"with {head}\n{body}"

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from ebbtide.plans.oracle import with_views
 from ebbtide.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
@@ -21,7 +20,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"query {name} registered twice")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLES[name] = with_views(sql)
+            ORACLES[name] = sql
         return fn
 
     return register

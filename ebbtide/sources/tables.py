@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -114,6 +115,13 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
+        self._made: dict[str, DataFrame] = {}
+
+    def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """Make a derived frame on first use and keep it for this object's life."""
+        if name not in self._made:
+            self._made[name] = make()
+        return self._made[name]
 
     def raw(self, name: str) -> DataFrame:
         return scan_table(self.spark, self.root, name)
