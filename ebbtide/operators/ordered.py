@@ -115,9 +115,8 @@ def carry_forward(
     # The last mark of a slice carries into every slice up to the next one with marks.
     edges = marks.groupBy(cell.alias("_cell")).agg(F.max_by(carried, position).alias("_carry"))
     upcoming = F.lead("_cell").over(Window.orderBy("_cell"))
-    carry = edges.select(
-        "_carry", F.explode(F.sequence(F.col("_cell") + 1, F.coalesce(upcoming, F.lit(cells).cast("bigint") + 1)))
-        .alias("_cell"))
+    carry = edges.withColumn("_until", F.coalesce(upcoming, F.lit(cells).cast("bigint") + 1)).select(
+        "_carry", F.explode(F.sequence(F.col("_cell") + 1, F.col("_until"))).alias("_cell"))
     inside = Window.partitionBy("_cell").orderBy(position, "_kind").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return (

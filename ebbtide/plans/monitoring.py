@@ -122,6 +122,18 @@ def _drift(t):
     return dr.drift(_log(t), _baseline(t), "inference_timestamp", NUMERIC, CATEGORICAL)
 
 
+def _stacked(t):
+    return dr.stacked_counts(_windowed(t), _baseline(t), NUMERIC, CATEGORICAL)
+
+
+def _numeric_only(t):
+    return dr.numeric_distances(_stacked(t)[0])
+
+
+def _binned_only(t):
+    return dr.distribution_distances(_stacked(t)[1])
+
+
 def _windowed(t):
     return _log(t).withColumn("window", pf.window_start("inference_timestamp"))
 
@@ -244,19 +256,18 @@ def filter_null_tests(t):
 
 @query("baseline_join", """select "window", column_name, bin, nb, nw from drift_bins""")
 def baseline_join(t):
-    _, bins = dr.stacked_counts(_windowed(t), _baseline(t), NUMERIC, CATEGORICAL)
-    return bins.select("window", "column_name", "bin", "nb", "nw")
+    return _stacked(t)[1].select("window", "column_name", "bin", "nb", "nw")
 
 
 @query("drift_ks", 'select "window", column_name, round(ks,6) as ks_statistic from ks_w1')
 def drift_ks(t):
-    return _drift(t).filter("ks_test is not null").select(
+    return _numeric_only(t).select(
         "window", "column_name", F.round("ks_test.statistic", 6).alias("ks_statistic"))
 
 
 @query("drift_ks_pvalue", 'select "window", column_name, round(pvalue,6) as ks_pvalue from ks_p')
 def drift_ks_pvalue(t):
-    return _drift(t).filter("ks_test is not null").select(
+    return _numeric_only(t).select(
         "window", "column_name", F.round("ks_test.pvalue", 6).alias("ks_pvalue"))
 
 
@@ -264,7 +275,7 @@ def drift_ks_pvalue(t):
  case degrees when 2 then round(exp(-chi2/2),6) end as chi2_pvalue_two_degrees
  from distances where kind='categorical'""")
 def drift_chi2(t):
-    tested = _drift(t).filter("chi_squared_test is not null")
+    tested = _binned_only(t).filter("chi_squared_test is not null")
     return tested.select(
         "window", "column_name", F.round("chi_squared_test.statistic", 6).alias("chi2_statistic"), "degrees",
         F.when(F.col("degrees") == 2, F.round("chi_squared_test.pvalue", 6)).alias("chi2_pvalue_two_degrees"))
@@ -272,24 +283,24 @@ def drift_chi2(t):
 
 @query("drift_psi", 'select "window", column_name, round(psi,6) as psi from distances')
 def drift_psi(t):
-    return _drift(t).select("window", "column_name", F.round("population_stability_index", 6).alias("psi"))
+    return _binned_only(t).select("window", "column_name", F.round("population_stability_index", 6).alias("psi"))
 
 
 @query("drift_wasserstein", 'select "window", column_name, round(w1,5) as wasserstein from ks_w1')
 def drift_wasserstein(t):
-    return _drift(t).filter("ks_test is not null").select(
+    return _numeric_only(t).select(
         "window", "column_name", F.round("wasserstein_distance", 5).alias("wasserstein"))
 
 
 @query("drift_js", 'select "window", column_name, round(js,6) as js_distance from distances')
 def drift_js(t):
-    return _drift(t).select("window", "column_name", F.round("js_distance", 6).alias("js_distance"))
+    return _binned_only(t).select("window", "column_name", F.round("js_distance", 6).alias("js_distance"))
 
 
 @query("drift_tv", """select "window", column_name, round(tv,6) as tv_distance, round(max_bin,6) as max_bin_diff
  from distances""")
 def drift_tv(t):
-    return _drift(t).select("window", "column_name", F.round("tv_distance", 6).alias("tv_distance"),
+    return _binned_only(t).select("window", "column_name", F.round("tv_distance", 6).alias("tv_distance"),
                             F.round("max_bin_diff", 6).alias("max_bin_diff"))
 
 
