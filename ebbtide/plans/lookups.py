@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from ebbtide.functions import sql_functions
 from ebbtide.operators import lookup as lk
@@ -10,7 +12,6 @@ from ebbtide.operators import retrieve as rt
 from ebbtide.operators.scoring import standin_score
 from ebbtide.plans.oracle import VIEWS, u
 from ebbtide.plans.registry import query
-from ebbtide.sources.sinks import materialize_once
 
 VIEWS["scored"] = f"""select *, case when churn_probability >= 0.5e0 then 1e0 else 0e0 end as prediction from (
  select *, least(0.99e0, greatest(0.01e0, 0.15e0
@@ -132,9 +133,6 @@ def udtf_sql_table(t):
 @query("udf_pandas_scalar", "select customer_id, num_optional_services from features")
 def udf_pandas_scalar(t):
     """The vectorised twin of the column expression, kept for the equality check."""
-    import pandas as pd
-    from pyspark.sql.types import IntegerType
-
     from ebbtide.functions.columns import OPTIONAL_SERVICES
 
     @F.pandas_udf(IntegerType())

