@@ -61,23 +61,23 @@ def sentiment(df: DataFrame, text: str, positive: Sequence[str], negative: Seque
     return scored.withColumn(out, verdict).drop("_pos", "_neg")
 
 
-def summarize(df: DataFrame, key: str, text: str, out: str = "summary") -> DataFrame:
+def summarize(df: DataFrame, keys: str | Sequence[str], text: str, out: str = "summary") -> DataFrame:
     """The sentence whose words are the most frequent in their own text; ties to the earliest.
 
     The texts are distributed by key once; every later step groups within a key and
     reuses that placement.
     """
-    placed = df.select(key, text).repartition(key)
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    placed = df.select(*keys, text).repartition(*keys)
     sentences = F.transform(F.split(F.col(text), SENTENCE_END), lambda s: F.trim(s))
-    spoken = placed.select(key, F.posexplode(sentences).alias("_s", "_sentence")).select(
-        key, "_s", F.explode(words(F.col("_sentence"))).alias("_w"))
-    counted = spoken.groupBy(key, "_s", "_w").agg(F.count("*").alias("_c"))
-    weighted = counted.withColumn("_tf", F.sum("_c").over(Window.partitionBy(key, "_w")))
-    scored = weighted.groupBy(key, "_s").agg(
+    spoken = placed.select(*keys, F.posexplode(sentences).alias("_s", "_sentence")).select(
+        *keys, "_s", F.explode(words(F.col("_sentence"))).alias("_w"))
+    counted = spoken.groupBy(*keys, "_s", "_w").agg(F.count("*").alias("_c"))
+    weighted = counted.withColumn("_tf", F.sum("_c").over(Window.partitionBy(*keys, "_w")))
+    scored = weighted.groupBy(*keys, "_s").agg(
         (F.sum(F.col("_c") * F.col("_tf")).cast("double") / F.sum("_c")).alias("_score"))
-    best = scored.groupBy(key).agg(F.max_by("_s", F.struct(F.col("_score"), -F.col("_s"))).alias("_best"))
-    return placed.join(best, key, "left").select(
-        key, F.get(sentences, F.col("_best")).alias(out))
+    best = scored.groupBy(*keys).agg(F.max_by("_s", F.struct(F.col("_score"), -F.col("_s"))).alias("_best"))
+    return placed.join(best, keys, "left").select(*keys, F.get(sentences, F.col("_best")).alias(out))
 
 
 def assemble_transcripts(
@@ -129,31 +129,45 @@ def extract_fields_v2(text: Column, names_json: str, patterns: Mapping[str, str]
     return F.struct(response.alias("response"), problem.alias("error_message"))
 
 
-def extract_audited(text: Column, fields: Mapping[str, str]) -> Column:
-    """``{response: {field: {value, confidence_score, citation_ids}}, metadata: {citations}}``.
+def _equals(value: Column) -> Callable[[Column], Column]:
+    return lambda m: m == value
+
+
+def _citation(name: str, value: Column) -> Callable[[Column, Column], Column]:
+    return lambda line, i: F.struct(
+        i.alias("id"), F.lit(name).alias("field"), F.instr(line, value).alias("start"),
+        (F.instr(line, value) + F.length(value) - 1).alias("end"))
+
+
+def extract_audited(df: DataFrame, text: str, fields: Mapping[str, str], out: str = "audited") -> DataFrame:
+    """Add ``{response: {field: {value, confidence_score, citation_ids}}, metadata: {citations}}``.
 
     The confidence is the share of a field's matches that agree with its first match. A
     citation is a line of the text that contains the value: (id, field, start, end), with
-    the line number as id.
+    the line number as id. Matches and lines are columns of an earlier projection, so a
+    text is searched once per field and not once per line.
     """
-    lines = F.split(text, "\n")
+    found = {name: f"_m_{name}" for name in fields}
+    staged = df.withColumns({
+        "_lines": F.split(F.col(text), "\n"),
+        **{found[name]: F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)) for name, pattern in fields.items()},
+    })
     answers, cited = [], []
-    for name, pattern in fields.items():
-        found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-        value = F.when(F.size(found) > 0, F.get(found, F.lit(0)))
-        agree = F.size(F.filter(found, lambda m, v=value: m == v))
-        places = F.filter(
-            F.transform(lines, lambda line, i, v=value, n=name: F.struct(
-                i.alias("id"), F.lit(n).alias("field"), F.instr(line, v).alias("start"),
-                (F.instr(line, v) + F.length(v) - 1).alias("end"))),
-            lambda c: c["start"] > 0)
-        places = F.when(value.isNotNull(), places).otherwise(F.slice(places, 1, 0))
-        cited.append(places)
+    for name in fields:
+        matches = F.col(found[name])
+        value = F.get(matches, F.lit(0))
+        places = F.when(F.size(matches) > 0, F.filter(
+            F.transform("_lines", _citation(name, value)), lambda c: c["start"] > 0))
+        staged = staged.withColumn(f"_c_{name}", F.coalesce(places, F.slice(F.transform(
+            "_lines", _citation(name, F.lit(""))), 1, 0)))
+        cited.append(F.col(f"_c_{name}"))
         answers.append(F.struct(
             value.alias("value"),
-            F.when(value.isNotNull(), agree.cast("double") / F.size(found)).alias("confidence_score"),
-            F.transform(places, lambda c: c["id"]).alias("citation_ids")).alias(name))
-    return F.struct(F.struct(*answers).alias("response"), F.struct(F.concat(*cited).alias("citations")).alias("metadata"))
+            F.when(value.isNotNull(), F.size(F.filter(matches, _equals(value))).cast("double") / F.size(matches))
+            .alias("confidence_score"),
+            F.transform(f"_c_{name}", lambda c: c["id"]).alias("citation_ids")).alias(name))
+    audited = F.struct(F.struct(*answers).alias("response"), F.struct(F.concat(*cited).alias("citations")).alias("metadata"))
+    return staged.withColumn(out, audited).select(*df.columns, out)
 
 
 def audited_fields(df: DataFrame, key: str, audited: str, fields: Sequence[str]) -> DataFrame:

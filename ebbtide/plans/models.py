@@ -1 +1,106 @@
-"""To come."""
+"""Model queries: preprocessing, tuning, fitting, scoring and importance."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ebbtide.operators import churn_model as cm
+from ebbtide.operators.features import avg_price_increase, build_features, feature_lookup
+from ebbtide.operators.quality import quality
+from ebbtide.plans.registry import query
+from ebbtide.session import shared_dir
+from ebbtide.sources.sinks import materialize_once
+
+# A short search for the named query; the defaults of ``tune`` are 20 trials of full size.
+SMALL_SPACE = {**cm.SPACE, "maxIter": ("int", 3, 6), "maxDepth": ("int", 2, 4)}
+QUICK = {"maxIter": 5, "maxDepth": 3, "stepSize": 0.2}
+
+
+def _rows(t):
+    """Labelled rows of all splits, stored once: every fit reads them several times."""
+    def make():
+        labels = t.churn_labels.select("customer_id", "churn", "split")
+        joined = feature_lookup(labels, build_features(t.customers, t.tickets),
+                                computed={"avg_price_increase": avg_price_increase()})
+        return materialize_once(cm.prepare(joined), "training")
+
+    return t.once("training", make)
+
+
+def _split(t, name):
+    return _rows(t).filter(F.col("split") == name)
+
+
+def _model(t):
+    if not hasattr(t, "_quick_model"):
+        t._quick_model = cm.fit_final(_split(t, "train"), QUICK)
+    return t._quick_model
+
+
+@query("ml_preprocess")
+def ml_preprocess(t):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    train = _split(t, "train")
+    fitted = Pipeline(stages=cm.preprocess_stages(train)).fit(train)
+    return fitted.transform(_split(t, "val")).select(
+        "customer_id", F.size(vector_to_array("features")).alias("width"), "label")
+
+
+_STD = ("tenure_months", "monthly_charges", "total_charges")
+
+
+@query("ml_standardize", "select customer_id, " + ", ".join(
+    f"round(({c} - avg({c}) over ())/stddev_pop({c}) over (), 6) as {c}" for c in _STD) + " from customers")
+def ml_standardize(t):
+    out = cm.standardize(t.customers.select("customer_id", *_STD), _STD)
+    return out.select("customer_id", *[F.round(c, 6).alias(c) for c in _STD])
+
+
+@query("ml_tune")
+def ml_tune(t):
+    found = cm.tune(_split(t, "train"), _split(t, "val"), n_trials=4, space=SMALL_SPACE)
+    return found.trials.select("trial", F.to_json("params").alias("params"), "f1_score", "roc_auc", "is_best")
+
+
+@query("ml_fit_final")
+def ml_fit_final(t):
+    scored = cm.score(_model(t), _split(t, "val"))
+    q = quality(scored, "label", "prediction", "churn_probability")
+    return q.select("labeled_rows", "accuracy_score", "precision_positive", "recall_positive", "f1_positive",
+                    "log_loss", "roc_auc")
+
+
+@query("ml_persist_load")
+def ml_persist_load(t):
+    store = cm.ModelStore(t.spark, shared_dir(t.spark, "models"))
+    version = store.register("churn_model", _model(t), f1=None, auc=None)
+    store.set_alias("churn_model", "Champion", version)
+    reloaded = store.load("churn_model", "Champion")
+    return cm.score(reloaded, _split(t, "test")).select("customer_id", "prediction", "churn_probability").withColumn(
+        "version", F.lit(version))
+
+
+@query("ml_batch_score")
+def ml_batch_score(t):
+    return cm.score(_model(t), _split(t, "test")).select("customer_id", "prediction", "churn_probability")
+
+
+@query("ml_importance")
+def ml_importance(t):
+    """Split importance of each input column beside its permutation importance."""
+    rows, model = _split(t, "val"), _model(t)
+    weights = dict(cm.importances(model, rows))
+    columns = ["tenure_months", "monthly_charges", "total_tickets", "contract_type", "avg_price_increase"]
+    moved = cm.permutation_importance(model, rows, columns)
+    known = F.create_map(*[F.lit(x) for c in columns for x in (c, weights.get(c, 0.0))])
+    return moved.withColumn("split_importance", known[F.col("column_name")])
+
+
+@query("ml_serving_payload", """select customer_id, '{"tenure_months":' || tenure_months || ',"contract_type":"' ||
+ contract_type || '","senior_citizen":' || senior_citizen || ',"total_tickets":' || total_tickets || '}' as payload
+ from features""")
+def ml_serving_payload(t):
+    rows = build_features(t.customers, t.tickets)
+    return cm.serving_payload(rows, "customer_id", ("tenure_months", "contract_type", "senior_citizen", "total_tickets"))

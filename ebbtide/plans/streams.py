@@ -1 +1,46 @@
-"""To come."""
+"""Streaming queries: each runs to the end of the available files."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ebbtide.plans.registry import query
+from ebbtide.session import shared_dir
+from ebbtide.streaming import profile as sp
+from ebbtide.streaming import sync as ss
+
+
+def _synced(t):
+    target = shared_dir(t.spark, "synced")
+    stream = ss.file_stream(t.spark, t.root, "documents")
+    ss.sync(stream, "doc_id", target, shared_dir(t.spark, "sync-checkpoint"),
+            lambda batch: ss.embed(batch.select("doc_id", "lang", "text")).drop("text"))
+    return ss.latest(t.spark, target, "doc_id")
+
+
+@query("stream_sync", "select doc_id, lang, 256 as width from documents")
+def stream_sync(t):
+    return _synced(t).select("doc_id", "lang", F.size("vector").alias("width"))
+
+
+@query("incremental_sync", """select lang, count(*) as n from documents group by lang""")
+def incremental_sync(t):
+    """The sync run twice on one checkpoint: the second run finds nothing new and changes nothing."""
+    target, checkpoint = shared_dir(t.spark, "synced"), shared_dir(t.spark, "sync-checkpoint")
+    for _ in range(2):
+        ss.sync(ss.file_stream(t.spark, t.root, "documents"), "doc_id", target, checkpoint,
+                lambda batch: ss.embed(batch.select("doc_id", "lang", "text")).drop("text"))
+    return ss.latest(t.spark, target, "doc_id").groupBy("lang").agg(F.count("*").alias("n"))
+
+
+@query("stream_profile", """with w as (select date_trunc('day', ts)::timestamp as window_start, event_type, count(*) as count,
+  round(avg(value), 6) as avg, min(value) as min, max(value) as max from events group by all)
+ select window_start, event_type, count, avg, min, max from w
+ where window_start + interval 1 day <= (select max(ts) - interval 1 day from events)""")
+def stream_profile(t):
+    path = shared_dir(t.spark, "profile")
+    stream = sp.windowed_profile(ss.file_stream(t.spark, t.root, "events"), "ts", "event_type", "value")
+    sp.run_to_table(stream, path, shared_dir(t.spark, "profile-checkpoint"))
+    out = t.spark.read.parquet(path)
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "count",
+                      F.round("avg", 6).alias("avg"), "min", "max")

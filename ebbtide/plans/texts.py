@@ -95,9 +95,9 @@ def text_classify_fit(t):
  f as (select *, sum(c) over (partition by conv_id, w) as tf from w),
  b as (select conv_id, s, sum(c*tf)::double/sum(c) as score from f group by all),
  r as (select *, row_number() over (partition by conv_id order by score desc, s) as rn from b)
- select l.conv_id, l.l[(r.s+1)::bigint] as summary from l left join r on r.conv_id=l.conv_id and rn=1""")
+ select l.conv_id, 0::bigint as part, l.l[(r.s+1)::bigint] as summary from l left join r on r.conv_id=l.conv_id and rn=1""")
 def text_summarize(t):
-    return tx.summarize(_transcripts(t).filter("part = 0"), "conv_id", "transcript_text")
+    return tx.summarize(_transcripts(t), ["conv_id", "part"], "transcript_text")
 
 
 _POS, _NEG = _hits("transcript_text", POSITIVE), _hits("transcript_text", NEGATIVE)
@@ -163,7 +163,7 @@ VIEWS["audited"] = """select doc_id, field, m[1] as value, case when len(m)>0 th
 
 
 def _audited(t):
-    return t.raw("documents").select("doc_id", tx.extract_audited(F.col("text"), FIELDS).alias("x"))
+    return tx.extract_audited(t.raw("documents").select("doc_id", "text"), "text", FIELDS, "x").drop("text")
 
 
 @query("extract_audited", """select doc_id, field, value, round(confidence_score,6) as confidence_score,
