@@ -135,5 +135,9 @@ def monitor_refresh(
 ) -> tuple[DataFrame, DataFrame]:
     """(profile metrics, drift metrics) of a log against its baseline."""
     numeric, categorical = profiled_columns(log, config)
+    # Predicted and true classes are classes, however they are stored.
+    classes = [c for c in (config.prediction, config.label) if c in numeric]
     metrics = profile(log, config).unionByName(profile(baseline, config, "BASELINE"))
-    return metrics, drift(log, baseline, config.timestamp, numeric, categorical, config.granularity)
+    moved = drift(log, baseline, config.timestamp, [c for c in numeric if c not in classes],
+                  [*categorical, *classes], config.granularity)
+    return metrics, moved
