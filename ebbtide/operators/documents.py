@@ -10,7 +10,7 @@ HIDDEN = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 INLINE = r"(?i)</?(?:a|b|i|u|em|strong|span|small|sup|sub|br|code|font)\b[^>]*>"
 BLOCK = (
     r"(?is)<nav\b.*?</nav>|<header\b.*?</header>|<footer\b.*?</footer>|<table\b.*?</table>|"
-    r"<figure\b.*?</figure>|<[^>]+>[^<]*|^[^<]+"
+    r"<figure\b.*?</figure>|<[^>]+>[^<]*|[^<]+"
 )
 TAG = r"(?s)<[^>]*>"
 TAG_NAME = r"^</?([a-zA-Z0-9]+)"

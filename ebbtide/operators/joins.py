@@ -27,10 +27,13 @@ def weighted_draw(
     the weights are spread. A zero weight is never drawn. Weights and intervals are read
     several times and therefore stored once.
     """
-    weighted = pool.select(pool_key, weight.cast("bigint").alias("_w")).filter(F.col("_w") > 0)
+    # Text keys are ordered by their hash; the order only has to be the same for all readers.
+    is_text = pool.schema[pool_key].dataType.typeName() == "string"
+    place = F.xxhash64(pool_key) if is_text else F.col(pool_key)
+    weighted = pool.select(pool_key, weight.cast("bigint").alias("_w"), place.alias("_place")).filter(F.col("_w") > 0)
     weighted = materialize_once(weighted, "weights")
     starts = materialize_once(
-        ordered_prefix(weighted, [], pool_key, ["_w"], cells).select(
+        ordered_prefix(weighted, [], "_place", ["_w"], cells, (pool_key,)).select(
             pool_key, (F.col("cum__w") - F.col("_w")).alias("_at")), "starts")
     total = weighted.agg(F.sum("_w").alias("total")).scalar()
     probes = draws.withColumn(

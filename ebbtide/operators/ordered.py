@@ -25,11 +25,11 @@ def _spread(value: Column) -> Column:
 
 
 def ordered_prefix(
-    df: DataFrame, by: list[str], value: str, sums: list[str], cells: int = CELLS
+    df: DataFrame, by: list[str], value: str, sums: list[str], cells: int = CELLS, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """Add running and total sums to a frame with one row per (by, value).
 
-    Result columns: by, value, sums, ``cum_<s>`` (up to and including the value),
+    Result columns: by, value, sums, ``carry``, ``cum_<s>`` (up to and including the value),
     ``total_<s>`` and ``next_value`` (null at the end). ``by`` must name few groups
     (columns x windows): their ranges travel as a broadcast. Rows with a null value
     are left out.
@@ -39,7 +39,7 @@ def ordered_prefix(
         by = [_ALL]
         df = df.withColumn(_ALL, F.lit(0))
     v = F.col(value)
-    df = df.select(*by, value, *sums).filter(v.isNotNull() & ~F.isnan(v.cast("double")))
+    df = df.select(*by, value, *sums, *carry).filter(v.isNotNull() & ~F.isnan(v.cast("double")))
     g = _spread(v.cast("double"))
     ranges = df.groupBy(*by).agg(
         F.min(g).alias("_lo"), F.max(g).alias("_hi"), *[F.sum(s).alias(f"total_{s}") for s in sums]
@@ -61,7 +61,7 @@ def ordered_prefix(
     inside = Window.partitionBy(*by, "_cell").orderBy(value)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = celled.join(offsets, [*by, "_cell"]).select(
-        *by, value, *sums,
+        *by, value, *sums, *carry,
         *[(F.col(f"_before_{s}") + F.sum(s).over(upto)).alias(f"cum_{s}") for s in sums],
         *[F.col(f"total_{s}") for s in sums],
         F.coalesce(F.lead(value).over(inside), F.col("_next_first")).alias("next_value"),

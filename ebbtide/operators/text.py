@@ -180,10 +180,11 @@ def audited_fields(df: DataFrame, key: str, audited: str, fields: Sequence[str])
 
 
 def resolve_citations(df: DataFrame, key: str, audited: str, fields: Sequence[str]) -> DataFrame:
-    """key, field, id, start, end: every cited id with its record."""
-    wanted = audited_fields(df, key, audited, fields).select(key, "field", F.explode("citation_ids").alias("id"))
-    records = df.select(key, F.explode(f"{audited}.metadata.citations").alias("_c")).select(key, "_c.*")
-    return wanted.join(records, [key, "field", "id"])
+    """key, field, citation_id, start, end: every cited id with its record."""
+    wanted = audited_fields(df, key, audited, fields).select(key, "field", F.explode("citation_ids").alias("citation_id"))
+    records = df.select(key, F.explode(f"{audited}.metadata.citations").alias("_c")).select(
+        key, "_c.field", F.col("_c.id").alias("citation_id"), "_c.start", "_c.end")
+    return wanted.join(records, [key, "field", "citation_id"])
 
 
 # Fixed limits of the routing rule.

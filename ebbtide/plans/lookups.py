@@ -158,10 +158,10 @@ def _label_centroids(t):
         F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("vector"))
 
 
-@query("vector_topk", """with scores as (select query_id, vec_id as item_id, round(list_cosine_similarity(c,
+@query("vector_topk", """with ranked_items as (select query_id, vec_id as item_id, round(list_cosine_similarity(c,
  embedding::double[64]::double[]), 9) as score from label_centroids, embeddings)
  select query_id, rank, item_id, round(score, 6) as score, lang as category from (
- select *, (row_number() over (partition by query_id order by score desc, item_id))::int as rank from scores) r
+ select *, (row_number() over (partition by query_id order by score desc, item_id))::int as rank from ranked_items) r
  join documents d on d.doc_id = r.item_id where rank <= 3""")
 def vector_topk(t):
     items = t.raw("embeddings").select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"))

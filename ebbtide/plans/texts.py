@@ -182,7 +182,7 @@ def array_len(t):
                                      F.max(F.size("citation_ids")).alias("most"))
 
 
-@query("citation_join", """select doc_id, field, id::int as id, strpos(l[id+1], value)::int as start,
+@query("citation_join", """select doc_id, field, id::int as citation_id, strpos(l[id+1], value)::int as start,
  (strpos(l[id+1], value) + len(value) - 1)::int as "end" from (select *, unnest(ids) as id from audited)""")
 def citation_join(t):
     return tx.resolve_citations(_audited(t), "doc_id", "x", list(FIELDS))
