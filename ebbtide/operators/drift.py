@@ -12,57 +12,58 @@ from pyspark.sql.types import DoubleType
 
 from ebbtide.operators.ordered import exact_quantiles, ordered_prefix
 from ebbtide.operators.profile import value_counts, window_start
+from ebbtide.sources.sinks import materialize_once
 
 FLOOR = 1e-4  # smallest share used in logarithms and expected counts
 DECILES = {f"d{i}": i / 10 for i in range(1, 10)}
 KEYS = ["window", "column_name"]
 
 
-def _stack(base: DataFrame, log: DataFrame, windows: Column, value: str) -> DataFrame:
-    """Baseline and window counts of each value side by side, a missing side as 0.
+def stacked_counts(
+    log: DataFrame, baseline: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()
+) -> DataFrame:
+    """window, column_name, number, text, nb, nw: baseline and window counts of every value.
 
-    The same rows as a full outer join, but as one union and one aggregate: a value
-    seen on one side only needs no special case. The list of windows is a scalar
-    subquery: at most one entry per calendar window.
+    ``log`` has a window column. The rows are those of a full outer join, but made by one
+    union and one aggregate: a missing side counts 0 and needs no special case. The list
+    of windows is a scalar subquery with at most one entry per calendar window.
     """
-    b = base.select(F.explode(windows).alias("window"), "column_name", value,
-                    F.col("n").alias("nb"), F.lit(0).cast("bigint").alias("nw"))
-    w = log.select("window", "column_name", value, F.lit(0).cast("bigint").alias("nb"), F.col("n").alias("nw"))
-    return b.unionByName(w).groupBy(*KEYS, value).agg(F.sum("nb").alias("nb"), F.sum("nw").alias("nw"))
+    if not numeric and not categorical:
+        raise ValueError("no columns to compare")
+    windows = log.select("window").distinct().agg(F.sort_array(F.collect_set("window")).alias("w")).scalar()
+    value = ["column_name", "number", "text"]
+    zero = F.lit(0).cast("bigint")
+    b = value_counts(baseline, [], numeric, categorical).select(
+        F.explode(windows).alias("window"), *value, F.col("n").alias("nb"), zero.alias("nw"))
+    w = value_counts(log, ["window"], numeric, categorical).select("window", *value, zero.alias("nb"), F.col("n").alias("nw"))
+    return b.unionByName(w).groupBy("window", *value).agg(F.sum("nb").alias("nb"), F.sum("nw").alias("nw"))
 
 
-def _window_list(log: DataFrame) -> Column:
-    return log.select("window").distinct().agg(F.sort_array(F.collect_set("window")).alias("w")).scalar()
+def numbers_of(stacked: DataFrame) -> DataFrame:
+    return stacked.filter(F.col("number").isNotNull()).select(*KEYS, F.col("number").alias("value"), "nb", "nw")
 
 
-def decile_edges(base_counts: DataFrame) -> DataFrame:
-    """(column_name, edges): the nine inner deciles, rounded so that two engines agree."""
-    q = exact_quantiles(base_counts, ["column_name"], "value", "n", DECILES)
+def decile_edges(stacked: DataFrame) -> DataFrame:
+    """(column_name, edges): the nine inner deciles of the baseline, rounded so that two engines agree.
+
+    Every window carries the whole baseline, so one window is enough.
+    """
+    first = stacked.agg(F.min("window").alias("w")).scalar()
+    base = numbers_of(stacked).filter((F.col("window") == first) & (F.col("nb") > 0))
+    q = exact_quantiles(base, ["column_name"], "value", "nb", DECILES)
     return q.select("column_name", F.array(*[F.round(d, 6) for d in DECILES]).alias("edges"))
 
 
-def stacked_counts(
-    log: DataFrame, baseline: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
-) -> tuple[DataFrame | None, DataFrame]:
-    """(numeric value counts or None, bin counts of all columns); ``log`` has a window column."""
-    windows = _window_list(log)
-    values, bins = None, None
-    if numeric:
-        base = value_counts(baseline, [], numeric, "double")
-        values = _stack(base, value_counts(log, ["window"], numeric, "double"), windows, "value")
-        # One edge row per column name: the bound is the width of the schema.
-        binned = values.join(F.broadcast(decile_edges(base)), "column_name", "left").withColumn(
-            "bin", F.size(F.filter("edges", lambda e: F.col("value") > e)).cast("string"))
-        bins = binned.groupBy(*KEYS, "bin").agg(F.sum("nb").alias("nb"), F.sum("nw").alias("nw")).withColumn(
-            "kind", F.lit("numeric"))
-    if categorical:
-        base = value_counts(baseline, [], categorical, "string").withColumnRenamed("value", "bin")
-        seen = value_counts(log, ["window"], categorical, "string").withColumnRenamed("value", "bin")
-        texts = _stack(base, seen, windows, "bin").withColumn("kind", F.lit("categorical"))
-        bins = texts if bins is None else bins.unionByName(texts)
-    if bins is None:
-        raise ValueError("no columns to compare")
-    return values, bins
+def bin_counts(stacked: DataFrame) -> DataFrame:
+    """window, column_name, kind, bin, nb, nw: decile bins of numbers, the values of texts."""
+    # One edge row per column name: the bound is the width of the schema.
+    binned = numbers_of(stacked).join(F.broadcast(decile_edges(stacked)), "column_name", "left").select(
+        *KEYS, F.lit("numeric").alias("kind"),
+        F.size(F.filter("edges", lambda e: F.col("value") > e)).cast("string").alias("bin"), "nb", "nw")
+    numbers = binned.groupBy(*KEYS, "kind", "bin").agg(F.sum("nb").alias("nb"), F.sum("nw").alias("nw"))
+    texts = stacked.filter(F.col("text").isNotNull()).select(
+        *KEYS, F.lit("categorical").alias("kind"), F.col("text").alias("bin"), "nb", "nw")
+    return numbers.unionByName(texts)
 
 
 def ks_pvalue(statistic: Column, n: Column, m: Column) -> Column:
@@ -153,15 +154,13 @@ def drift(
     categorical: Sequence[str] = (),
     granularity: str = "month",
 ) -> DataFrame:
-    """All measures, one row per window and column."""
+    """All measures, one row per window and column.
+
+    Log and baseline are scanned once, into stored value counts that all measures read.
+    """
     windowed = log.withColumn("window", window_start(timestamp, granularity))
-    values, bins = stacked_counts(windowed, baseline, numeric, categorical)
-    out = distribution_distances(bins)
-    if values is None:
-        none = F.lit(None).cast("struct<statistic:double,pvalue:double>")
-        out = out.withColumns({"ks_test": none, "wasserstein_distance": F.lit(None).cast("double")})
-    else:
-        out = out.join(numeric_distances(values), KEYS, "left")
+    stacked = materialize_once(stacked_counts(windowed, baseline, numeric, categorical), "drift-counts")
+    out = distribution_distances(bin_counts(stacked)).join(numeric_distances(numbers_of(stacked)), KEYS, "left")
     return out.select(
         *KEYS, "ks_test", "chi_squared_test", "wasserstein_distance", "population_stability_index",
         "js_distance", "tv_distance", "max_bin_diff", "degrees")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.operators.ordered import exact_quantiles
+from ebbtide.sources.sinks import materialize_once
 
 QUANTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
 TABLE = ":table"
@@ -19,14 +20,22 @@ def window_start(timestamp: str | Column, granularity: str = "month") -> Column:
     return F.date_trunc(granularity, column).cast("timestamp_ntz")
 
 
-def value_counts(df: DataFrame, by: Sequence[str], columns: Sequence[str], kind: str) -> DataFrame:
-    """(by, column_name, value, n) for all columns in one pass and one shuffle.
+def value_counts(
+    df: DataFrame, by: Sequence[str], numeric: Sequence[str], categorical: Sequence[str] = ()
+) -> DataFrame:
+    """(by, column_name, number, text, n): how often each value of each column occurs.
 
-    Repeated values, however hot, are counted on the map side before the shuffle.
+    One scan and one shuffle serve all columns; a numeric column fills ``number``, any
+    other fills ``text``. Repeated values, however hot, are counted on the map side.
     """
-    long = df.select(*by, *[F.col(c).cast(kind).alias(c) for c in columns]).unpivot(
-        list(by), list(columns), "column_name", "value")
-    return long.filter(F.col("value").isNotNull()).groupBy(*by, "column_name", "value").agg(F.count("*").alias("n"))
+    no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    entries = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("number"), no_text.alias("text"))
+               for c in numeric]
+    entries += [F.struct(F.lit(c).alias("column_name"), no_number.alias("number"), F.col(c).cast("string").alias("text"))
+                for c in categorical]
+    long = df.select(*by, F.explode(F.array(*entries)).alias("_e")).select(*by, "_e.*")
+    present = F.col("number").isNotNull() | F.col("text").isNotNull()
+    return long.filter(present).groupBy(*by, "column_name", "number", "text").agg(F.count("*").alias("n"))
 
 
 def _wide_statistics(df: DataFrame, by: Sequence[str], numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
@@ -62,22 +71,20 @@ def column_profile(
     df: DataFrame, by: Sequence[str], numeric: Sequence[str], categorical: Sequence[str] = ()
 ) -> DataFrame:
     """by, column_name, count, percent_nulls, percent_zeros, avg, stddev, min, max,
-    distinct_count and exact quartiles, one row per group and column."""
+    distinct_count and exact quartiles, one row per group and column.
+
+    The value counts behind the quartiles are stored, as they are read several times.
+    """
     by = list(by)
     keys = [*by, "column_name"]
     single = _wide_statistics(df, by, numeric, categorical)
-    distinct, quartiles = None, None
-    if numeric:
-        counts = value_counts(df, by, numeric, "double")
-        distinct = counts.groupBy(*keys).agg(F.count("*").alias("distinct_count"))
-        quartiles = exact_quantiles(counts, keys, "value", "n", QUANTILES)
-    if categorical:
-        texts = value_counts(df, by, categorical, "string").groupBy(*keys).agg(F.count("*").alias("distinct_count"))
-        distinct = texts if distinct is None else distinct.unionByName(texts)
+    counts = materialize_once(value_counts(df, by, numeric, categorical), "value-counts")
+    distinct = counts.groupBy(*keys).agg(F.count("*").alias("distinct_count"))
     out = single.join(distinct, keys, "left").withColumn("distinct_count", F.coalesce("distinct_count", F.lit(0)))
-    if quartiles is None:
+    if not numeric:
         return out.withColumns({q: F.lit(None).cast("double") for q in QUANTILES})
-    return out.join(quartiles, keys, "left")
+    numbers = counts.filter(F.col("number").isNotNull())
+    return out.join(exact_quantiles(numbers, keys, "number", "n", QUANTILES), keys, "left")
 
 
 def fill_placeholders(template: str, values: Mapping[str, str]) -> str:

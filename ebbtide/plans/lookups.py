@@ -195,7 +195,7 @@ VIEWS["ask_weights"] = "select item_id, term, tf*idf as qw from ask_terms join i
  join documents d using (doc_id) where rank <= 3""")
 def tool_search_kb(t):
     asked = t.raw("benchmark").select(F.col("item_id").alias("query_id"), "text")
-    articles = t.raw("documents").withColumnRenamed("doc_id", "article_id")
+    articles = t.spread("documents", "doc_id").withColumnRenamed("doc_id", "article_id")
     return rt.text_search(asked, articles, 3, carry=("lang", "source")).withColumn("score", F.round("score", 6))
 
 

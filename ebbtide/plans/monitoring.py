@@ -66,14 +66,14 @@ VIEWS["cat_log"] = _long("inference_log", CATEGORICAL, "varchar", _W)
 VIEWS["log_windows"] = f"select distinct {_W} as \"window\" from inference_log"
 
 
-def _stacked(base, log):
+def _stack_sql(base, log):
     return f"""select "window", column_name, v, sum(nb)::bigint as nb, sum(nw)::bigint as nw from (
  select w."window", b.column_name, b.v, b.n as nb, 0 as nw from {base} b, log_windows w
  union all select "window", column_name, v, 0, n from {log}) group by all"""
 
 
-VIEWS["num_stack"] = _stacked("num_base", "num_log")
-VIEWS["cat_stack"] = _stacked("cat_base", "cat_log")
+VIEWS["num_stack"] = _stack_sql("num_base", "num_log")
+VIEWS["cat_stack"] = _stack_sql("cat_base", "cat_log")
 VIEWS["num_cdf"] = """select *, sum(nb) over w / sum(nb) over a as fb, sum(nw) over w / sum(nw) over a as fw,
  lead(v) over w as nxt, sum(nb) over a as tb, sum(nw) over a as tw from num_stack
  window w as (partition by "window", column_name order by v rows unbounded preceding),
@@ -128,15 +128,16 @@ def _drift(t):
 
 
 def _stacked(t):
-    return dr.stacked_counts(_windowed(t), _baseline(t), NUMERIC, CATEGORICAL)
+    return t.once("stacked", lambda: materialize_once(
+        dr.stacked_counts(_windowed(t), _baseline(t), NUMERIC, CATEGORICAL), "stacked"))
 
 
 def _numeric_only(t):
-    return dr.numeric_distances(_stacked(t)[0])
+    return dr.numeric_distances(dr.numbers_of(_stacked(t)))
 
 
 def _binned_only(t):
-    return dr.distribution_distances(_stacked(t)[1])
+    return dr.distribution_distances(dr.bin_counts(_stacked(t)))
 
 
 def _windowed(t):
@@ -268,7 +269,7 @@ def filter_null_tests(t):
 
 @query("baseline_join", """select "window", column_name, bin, nb, nw from drift_bins""")
 def baseline_join(t):
-    return _stacked(t)[1].select("window", "column_name", "bin", "nb", "nw")
+    return dr.bin_counts(_stacked(t)).select("window", "column_name", "bin", "nb", "nw")
 
 
 @query("drift_ks", 'select "window", column_name, round(ks,6) as ks_statistic from ks_w1')

@@ -82,7 +82,7 @@ def text_classify_fit(t):
     """The supervised variant: tf-idf and logistic regression on the quality labels."""
     from ebbtide.operators.churn_model import fit_text_classifier
 
-    texts = t.raw("documents").select("doc_id", "text")
+    texts = t.spread("documents", "doc_id").select("doc_id", "text")
     labelled = texts.join(t.raw("labels").select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
     model = fit_text_classifier(labelled, "text", "label")
     return model.transform(texts).groupBy("prediction").agg(F.count("*").alias("n"))
@@ -140,7 +140,7 @@ def _first(name):
 
 @query("extract_fields", "select doc_id, " + ", ".join(f"{_first(f)} as {f}" for f in FIELDS) + " from documents")
 def extract_fields(t):
-    return t.raw("documents").select("doc_id", tx.extract_fields(F.col("text"), FIELDS).alias("x")).select("doc_id", "x.*")
+    return t.spread("documents", "doc_id").select("doc_id", tx.extract_fields(F.col("text"), FIELDS).alias("x")).select("doc_id", "x.*")
 
 
 @query("extract_fields_v2", f"""select doc_id, {_first('email')} as email, {_first('account')} as account,
@@ -148,7 +148,7 @@ def extract_fields(t):
  from documents""")
 def extract_fields_v2(t):
     found = tx.extract_fields_v2(F.col("text"), '["email", "account", "plan"]', FIELDS)
-    return t.raw("documents").select("doc_id", found.alias("x")).select("doc_id", "x.response.*", "x.error_message")
+    return t.spread("documents", "doc_id").select("doc_id", found.alias("x")).select("doc_id", "x.response.*", "x.error_message")
 
 
 def _audit_sql(name):
@@ -163,7 +163,7 @@ VIEWS["audited"] = """select doc_id, field, m[1] as value, case when len(m)>0 th
 
 
 def _audited(t):
-    return tx.extract_audited(t.raw("documents").select("doc_id", "text"), "text", FIELDS, "x").drop("text")
+    return tx.extract_audited(t.spread("documents", "doc_id").select("doc_id", "text"), "text", FIELDS, "x").drop("text")
 
 
 @query("extract_audited", """select doc_id, field, value, round(confidence_score,6) as confidence_score,
@@ -218,12 +218,12 @@ VIEWS["elements"] = f"""select page_id, (row_number() over (partition by page_id
 def _parsed(t):
     """Parsed once and stored: every document query reads the same copy."""
     return t.once("parsed", lambda: materialize_once(
-        dc.parse_documents(t.raw("pages"), "page_id", "html").select("page_id", "url", "parsed"), "parsed"))
+        dc.parse_documents(t.spread("pages", "page_id"), "page_id", "html").select("page_id", "url", "parsed"), "parsed"))
 
 
 @query("parse_document", "select page_id, id, type, content, null::varchar as error_status from elements")
 def parse_document(t):
-    parsed = dc.parse_documents(t.raw("pages"), "page_id", "html")
+    parsed = dc.parse_documents(t.spread("pages", "page_id"), "page_id", "html")
     return parsed.select("page_id", F.explode("parsed.document.elements").alias("e"), "parsed.error_status").select(
         "page_id", "e.id", "e.type", "e.content", "error_status")
 
