@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CELLS = 4096
+CELLS = 65536
 _ALL = "_all"
 
 
@@ -25,14 +25,15 @@ def _spread(value: Column) -> Column:
 
 
 def ordered_prefix(
-    df: DataFrame, by: list[str], value: str, sums: list[str], cells: int = CELLS, carry: tuple[str, ...] = ()
+    df: DataFrame, by: list[str], value: str, sums: list[str], cells: int = CELLS, carry: tuple[str, ...] = (),
+    few_groups: bool = True,
 ) -> DataFrame:
     """Add running and total sums to a frame with one row per (by, value).
 
     Result columns: by, value, sums, ``carry``, ``cum_<s>`` (up to and including the value),
-    ``total_<s>`` and ``next_value`` (null at the end). ``by`` must name few groups
-    (columns x windows): their ranges travel as a broadcast. Rows with a null value
-    are left out.
+    ``total_<s>`` and ``next_value`` (null at the end). With ``few_groups`` (columns x
+    windows) the group ranges travel as a broadcast; a caller whose groups are not bounded
+    that way turns it off and gets an ordinary join. Rows with a null value are left out.
     """
     constant = not by
     if constant:
@@ -46,7 +47,7 @@ def ordered_prefix(
     )
     slot = F.when(F.col("_hi") > F.col("_lo"),
                   F.least(F.floor((g - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * cells), F.lit(cells - 1)))
-    celled = df.join(F.broadcast(ranges), by).withColumn("_cell", F.coalesce(slot, F.lit(0)).cast("int"))
+    celled = df.join(F.broadcast(ranges) if few_groups else ranges, by).withColumn("_cell", F.coalesce(slot, F.lit(0)).cast("int"))
 
     per_cell = celled.groupBy(*by, "_cell").agg(
         *[F.sum(s).alias(f"_cell_{s}") for s in sums], F.min(value).alias("_first")
@@ -70,14 +71,15 @@ def ordered_prefix(
 
 
 def exact_quantiles(
-    counts: DataFrame, by: list[str], value: str, n: str, probabilities: dict[str, float], cells: int = CELLS
+    counts: DataFrame, by: list[str], value: str, n: str, probabilities: dict[str, float], cells: int = CELLS,
+    few_groups: bool = True,
 ) -> DataFrame:
     """Interpolated quantiles of a frame holding ``n`` copies of each value.
 
     The built-in exact percentile keeps every distinct value of a group in one
     task's memory; here only the few bracketing values are kept.
     """
-    prefix = ordered_prefix(counts, by, value, [n], cells)
+    prefix = ordered_prefix(counts, by, value, [n], cells, few_groups=few_groups)
     rank = {name: F.lit(p) * (F.col(f"total_{n}") - 1) for name, p in probabilities.items()}
     aggs = []
     for name, r in rank.items():

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-MAX_LOCAL_QUERIES = 4096  # query vectors that may travel to every task
+MAX_LOCAL_QUERIES = 1024  # query vectors that may travel to every task
 QUERY_BLOCK = 1024
 ITEM_CHUNK = 50_000
 
@@ -20,17 +20,20 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def _best(queries: np.ndarray, query_ids: np.ndarray, items: np.ndarray, item_ids: np.ndarray,
-          k: int, cosine: bool) -> pd.DataFrame:
-    """The k best items of one batch for each query: ties go to the smaller item id."""
-    order = np.argsort(item_ids, kind="stable")
-    items, item_ids = items[order], item_ids[order]
+def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k highest scores of each row with their item ids; ties go to the smaller id."""
+    order = np.lexsort((ids, -scores), axis=1)[:, :k]
+    return np.take_along_axis(scores, order, axis=1), np.take_along_axis(ids, order, axis=1)
+
+
+def _scored(queries: np.ndarray, items: np.ndarray, item_ids: np.ndarray, cosine: bool) -> tuple[np.ndarray, np.ndarray]:
     scores = (queries @ (_unit(items) if cosine else items).T).round(9)
-    k = min(k, len(item_ids))
-    top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-    return pd.DataFrame({
-        "query_id": np.repeat(query_ids, k), "item_id": item_ids[top].ravel(),
-        "score": np.take_along_axis(scores, top, axis=1).ravel()})
+    return scores, np.broadcast_to(item_ids, scores.shape)
+
+
+def _found(query_ids: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"query_id": np.repeat(query_ids, scores.shape[1]), "item_id": ids.ravel(),
+                         "score": scores.ravel()})
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -50,9 +53,9 @@ def vector_topk(
     """query_id, rank, score, item_id: the k items with the highest cosine or dot product.
 
     A batch of queries up to ``max_local_queries`` goes to every task, which scores its
-    own items by matrix product and returns k rows per query and batch: the items are
-    never shuffled and no pair table exists. A larger query side is spread over a grid
-    of query blocks and item chunks of bounded size instead.
+    own items by matrix product and returns k rows per query: the items are never
+    shuffled and no pair table exists. A larger query side is spread over a grid of
+    query blocks and item chunks of bounded size instead.
     """
     if metric not in ("cosine", "dot"):
         raise ValueError(f"unknown metric {metric}")
@@ -69,9 +72,14 @@ def vector_topk(
         matrix = _unit(matrix) if cosine and len(local) else matrix
 
         def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            kept_scores, kept_ids = np.zeros((len(ids), 0)), np.zeros((len(ids), 0), dtype="int64")
             for batch in batches:
                 if len(batch) and len(ids):
-                    yield _best(matrix, ids, _matrix(batch["vector"]), batch["item_id"].to_numpy(), k, cosine)
+                    scores, found = _best(*_scored(matrix, _matrix(batch["vector"]), batch["item_id"].to_numpy(), cosine), k)
+                    kept_scores, kept_ids = _best(
+                        np.hstack([kept_scores, scores]), np.hstack([kept_ids, found]), k)
+            if kept_ids.size:
+                yield _found(ids, kept_scores, kept_ids)
 
         return _rank(i.mapInPandas(scan, schema), k)
 
@@ -89,8 +97,9 @@ def vector_topk(
             return pd.DataFrame({"query_id": [], "item_id": [], "score": []}).astype(
                 {"query_id": "int64", "item_id": "int64", "score": "float64"})
         block = _matrix(left["vector"])
-        return _best(_unit(block) if cosine else block, left["query_id"].to_numpy(), _matrix(right["vector"]),
-                     right["item_id"].to_numpy(), k, cosine)
+        scores, found = _best(*_scored(_unit(block) if cosine else block, _matrix(right["vector"]),
+                                       right["item_id"].to_numpy(), cosine), k)
+        return _found(left["query_id"].to_numpy(), scores, found)
 
     found = spread_q.groupBy("_b", "_c").cogroup(spread_i.groupBy("_b", "_c")).applyInPandas(grid, schema)
     return _rank(found, k)
