@@ -38,7 +38,7 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     machine-local folder stand in.
     """
     global _local_root
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
