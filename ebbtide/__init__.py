@@ -1,9 +1,12 @@
 """Customer-retention analytics as lazy Spark DataFrame operators."""
 
-import sys
+from __future__ import annotations
+
+from types import ModuleType
 
 from pyspark import cloudpickle
 
-# Functions that run in Python workers travel with the plan, so that executors need no
-# copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+def travels(package: ModuleType) -> None:
+    """Send the package's worker functions along with the plan, so that executors need no copy of it."""
+    cloudpickle.register_pickle_by_value(package)

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import sys
+
+from ebbtide import travels
+
+travels(sys.modules[__name__])
+
 import importlib
 
 _MODULES = (
