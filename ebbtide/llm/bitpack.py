@@ -129,7 +129,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str | None = None, end_id:
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order[:2]) \
         .sortWithinPartitions(*order) \
-        .mapInArrow(blocks, "part int, block int, n_ids long, packed binary").write.parquet(path)
+        .mapInArrow(blocks, "part long, block long, n_ids long, packed binary").write.parquet(path)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
@@ -145,7 +145,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                 ids = block.ids().tobytes()
                 at = (block.first * 4).tolist()
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([part] * len(at), pa.int32()), pa.array([number] * len(at), pa.int32()),
+                    pa.array([part] * len(at), pa.int64()), pa.array([number] * len(at), pa.int64()),
                     pa.array(block.docs, pa.int64()), pa.array(block.first), pa.array(block.lengths),
                     pa.array([ids[a:a + 4 * n] for a, n in zip(at, block.lengths.tolist())], pa.binary())],
                     ["part", "block", "doc_id", "first", "n_tokens", "ids"])
@@ -158,5 +158,5 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
         Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)).alias("p"))
     base = inside.join(parts, "part").select("part", "block", (F.coalesce("b", F.lit(0)) + F.coalesce("p", F.lit(0))).alias("base"))
     read = files.select("part", "block", "packed").mapInArrow(
-        documents, "part int, block int, doc_id long, first long, n_tokens long, ids binary")
+        documents, "part long, block long, doc_id long, first long, n_tokens long, ids binary")
     return read.join(base, ["part", "block"]).select("doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids")
