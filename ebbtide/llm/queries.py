@@ -14,6 +14,7 @@ from ebbtide.llm.licenses import license_scan
 from ebbtide.llm.packing import pack_documents
 from ebbtide.llm.quality import classify
 from ebbtide.llm.runtime import table
+from ebbtide.llm.substrings import remove_repeats
 from ebbtide.llm.token_counts import token_counts
 from ebbtide.llm.topk import top_k
 from ebbtide.llm.warc import read_archives, write_archives
@@ -83,3 +84,9 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_shingles", "n_copies", "n_links")
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

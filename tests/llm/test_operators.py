@@ -14,6 +14,7 @@ from ebbtide.llm.jaccard import jaccard_join, keep_one
 from ebbtide.llm.licenses import license_scan
 from ebbtide.llm.packing import pack_documents
 from ebbtide.llm.quality import classify
+from ebbtide.llm.substrings import Automaton, remove_repeats
 from ebbtide.llm.token_counts import token_counts
 from ebbtide.llm.topk import top_k
 from ebbtide.llm.warc import read_archives, write_archives
@@ -206,3 +207,24 @@ def test_empty_tables(name, spark, tmp_path_factory):
     for table, schema in EMPTY.items():
         spark.createDataFrame([], schema).write.parquet(f"{folder}/{table}.parquet")
     assert queries.QUERIES[name](spark, str(folder)).count() == 0
+
+
+@pytest.mark.parametrize("which", ["odd", "small"])
+@pytest.mark.parametrize("crowded", [1000, 1])
+def test_substrings(which, crowded, request):
+    docs = request.getfixturevalue(which)
+    out = remove_repeats(docs, crowded=crowded)
+    got = [(d, n, r, brute.sha(t)) for d, n, r, t in rows_of(out, "doc_id", "n_words", "n_removed", "kept_text")]
+    same(got, brute.without_repeats(texts(docs)))
+
+
+def test_automaton():
+    import random
+    rnd = random.Random(3)
+    texts_ = [[rnd.choice("ab") for _ in range(rnd.randint(3, 14))] for _ in range(60)]
+    automaton = Automaton()
+    for n, words in enumerate(texts_):
+        want = [next((m for m in range(n) if any(texts_[m][j:j + 4] == words[i:i + 4] for j in range(len(texts_[m]) - 3))), None)
+                for i in range(len(words) - 3)]
+        assert automaton.first_sources(words, 4) == want
+        automaton.add(words, n)
