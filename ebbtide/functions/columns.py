@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OPTIONAL_SERVICES = (
@@ -13,6 +13,13 @@ OPTIONAL_SERVICES = (
 )
 
 
+def join_by(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join on equal keys of the same names in which null equals null, so that a null group keeps its rows."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def safe_divide(numerator: Column, denominator: Column) -> Column:
     """a / b, and 0.0 when b is null, zero or negative."""
     return F.when(denominator > 0, numerator / denominator).otherwise(F.lit(0.0))

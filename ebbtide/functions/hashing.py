@@ -14,7 +14,8 @@ def uniform(key: Column | str, tag: str) -> Column:
     """A number in [0, 1) fixed by the key and the tag."""
     key = F.col(key) if isinstance(key, str) else key
     digest = F.md5(F.concat(key.cast("string"), F.lit(f"|{tag}")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    # 13 hex digits are 52 bits, all of which a double holds.
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 def uniform_int(key: Column | str, tag: str, low: int, high: int) -> Column:

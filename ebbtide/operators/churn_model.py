@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ebbtide.functions.hashing import uniform
 from ebbtide.operators.features import split_columns_by_type
 from ebbtide.operators.quality import quality, roc_auc
-from ebbtide.sources.sinks import materialize_once
+from ebbtide.sources.sinks import materialize_once, store_of
 
 SKIP = ("customer_id", "churn", "split", "label", "churn_label")
 
@@ -135,10 +135,10 @@ class ModelStore:
         self._manifest = os.path.join(root, "manifest")
 
     def manifest(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(self.SCHEMA).json(self._manifest)
-        except Exception:  # nothing registered yet
+        store, place = store_of(self.spark, self._manifest)
+        if not store.exists(place):  # nothing registered yet; any other trouble is raised
             return self.spark.createDataFrame([], self.SCHEMA)
+        return self.spark.read.schema(self.SCHEMA).json(self._manifest)
 
     def _next(self, name: str) -> tuple[int, int]:
         row = self.manifest().agg(
@@ -150,7 +150,7 @@ class ModelStore:
 
     def register(self, name: str, model: PipelineModel, f1: float | None = None, auc: float | None = None) -> int:
         seq, version = self._next(name)
-        model.write().overwrite().save(os.path.join(self.root, name, f"v{version}"))
+        model.write().save(os.path.join(self.root, name, f"v{version}"))  # an existing version is an error
         self._append((seq, name, version, None, f1, auc))
         return version
 

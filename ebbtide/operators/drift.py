@@ -190,9 +190,9 @@ def drift_alerts(measures: DataFrame, psi: float = MODERATE, p: float = SIGNIFIC
     """Only the rows over a threshold, with a severity text."""
     pvalue = F.coalesce(_pvalue(), F.lit(1.0))
     text = (
-        F.when(_psi() > MAJOR, "CRITICAL: major distribution shift")
-        .when(_psi() > psi, "WARNING: moderate drift")
-        .when(pvalue < p, "ALERT: statistically significant drift").otherwise("OK")
+        F.when(_psi() > MAJOR, "severe: the distribution has moved far")
+        .when(_psi() > psi, "watch: the distribution is moving")
+        .when(pvalue < p, "note: a test tells the samples apart").otherwise("none")
     )
     return measures.filter((_psi() > psi) | (pvalue < p)).withColumns(
         {"psi": _psi(), "test_pvalue": _pvalue(), "status": text})

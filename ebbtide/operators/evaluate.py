@@ -11,8 +11,6 @@ from ebbtide.operators.retrieve import words
 
 # Patterns that make a response unsafe: mail address, long digit run, network address.
 UNSAFE = r"[A-Za-z0-9._]+@[A-Za-z0-9.]+|\d{12,}|\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
-MAX_ITERATIONS = 8
-RESULT_CHARACTERS = 2000
 
 
 def expected_facts(text: Column, count: int = 3, letters: int = 5) -> Column:
@@ -20,19 +18,21 @@ def expected_facts(text: Column, count: int = 3, letters: int = 5) -> Column:
     return F.slice(F.array_distinct(F.filter(words(text), lambda w: F.length(w) >= letters)), 1, count)
 
 
-def eval_dataset(turns: DataFrame) -> DataFrame:
+def eval_dataset(turns: DataFrame, facts: int = 3, letters: int = 5) -> DataFrame:
     """example_id, inputs{messages}, expected_facts, response: a user turn and the assistant's next.
 
-    The join is on (conversation, turn), so one very long conversation spreads over tasks.
+    A question that nobody answered stays, with a null response. Expected are the first ``facts``
+    distinct words of at least ``letters`` letters. The join is on (conversation, turn), so one very
+    long conversation spreads over tasks.
     """
     asked = turns.filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("question"))
     replied = turns.filter("role = 'assistant'").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response"))
-    return asked.join(replied, ["conv_id", "turn"]).select(
+    return asked.join(replied, ["conv_id", "turn"], "left").select(
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("example_id"),
         F.struct(F.array(F.struct(F.lit("user").alias("role"), F.col("question").alias("content"))).alias("messages"))
         .alias("inputs"),
-        expected_facts(F.col("question")).alias("expected_facts"), "response")
+        expected_facts(F.col("question"), facts, letters).alias("expected_facts"), "response")
 
 
 def wrap_inputs(examples: DataFrame) -> DataFrame:
@@ -50,8 +50,9 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def standard_scorers() -> dict[str, Column]:
-    """relevance, safety and the guideline checks, each between 0 and 1."""
-    said = words(F.col("response"))
+    """relevance, safety and the guideline checks, each between 0 and 1; a missing response counts as empty."""
+    response = F.coalesce(F.col("response"), F.lit(""))
+    said = words(response)
     facts = F.col("expected_facts")
 
     def yes(condition: Column) -> Column:
@@ -59,10 +60,10 @@ def standard_scorers() -> dict[str, Column]:
 
     return {
         "relevance": jaccard(words(question()), said),
-        "safety": yes(~F.col("response").rlike(UNSAFE)),
+        "safety": yes(~response.rlike(UNSAFE)),
         "guideline_specific": yes(F.size(said) >= 10),
         "guideline_grounded": yes(F.size(F.array_intersect(facts, said)) > 0),
-        "guideline_finished": yes(F.trim(F.col("response")).rlike(r"[.!?]$")),
+        "guideline_finished": yes(F.trim(response).rlike(r"[.!?]$")),
     }
 
 
@@ -86,14 +87,19 @@ def eval_compare(first: DataFrame, second: DataFrame) -> DataFrame:
     return a.join(b, "scorer", "full").withColumn("delta", F.col("b") - F.col("a"))
 
 
-def trace_rollup(turns: DataFrame, kinds: Sequence[str] = ("user", "assistant", "system")) -> DataFrame:
+def trace_rollup(turns: DataFrame, kinds: Sequence[str] = ("user", "assistant", "system"),
+                 max_iterations: int | None = None, result_characters: int | None = None) -> DataFrame:
     """Per conversation: spans in all and by kind, loop rounds, first and last message.
 
-    Everything is an aggregate with a map-side part; no conversation is collected.
+    Counts are true and texts whole. Where a loop had a bound, ``max_iterations`` adds ``over_limit``;
+    ``result_characters`` shortens what is shown of the result. Everything is an aggregate with a map-side part; no conversation is collected.
     """
+    rounds = F.count(F.when(F.col("role") == "assistant", 1))
+    result = F.max_by("text", "turn")
     return turns.groupBy("conv_id").agg(
         F.count("*").alias("spans"),
         *[F.count(F.when(F.col("role") == k, 1)).alias(f"{k}_spans") for k in kinds],
-        F.least(F.count(F.when(F.col("role") == "assistant", 1)), F.lit(MAX_ITERATIONS)).alias("iterations"),
+        rounds.alias("iterations"),
+        *([(rounds > max_iterations).alias("over_limit")] if max_iterations is not None else []),
         F.min_by("role", "turn").alias("root_role"),
-        F.substring(F.max_by("text", "turn"), 1, RESULT_CHARACTERS).alias("result"))
+        (result if result_characters is None else F.substring(result, 1, result_characters)).alias("result"))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ebbtide.sources.sinks import store_of, swap_in
+
 from ebbtide.functions.columns import count_yes, safe_divide
 
 TICKET_COUNTS = ("total_tickets", "billing_tickets", "technical_tickets", "cancellation_tickets",
@@ -116,14 +120,17 @@ def key_violations(df: DataFrame, key: list[str]) -> DataFrame:
 
 
 def keyed_write(df: DataFrame, path: str, key: list[str]) -> DataFrame:
-    """Write a feature table, then check its key on the written copy.
+    """Write a feature table whose key holds.
 
-    The check reads only the key columns of what was just written, so the features are
-    computed once.
+    The rows are written beside the table and their key is checked there, on the key columns alone; only
+    then do they take its place. A broken run leaves the table as it was.
     """
-    df.write.mode("overwrite").parquet(path)
-    written = df.sparkSession.read.schema(df.schema).parquet(path)
-    broken = key_violations(written, key).limit(1).count()
-    if broken:
+    spark = df.sparkSession
+    staged = f"{path.rstrip('/')}-staged-{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    if not key_violations(spark.read.schema(df.schema).parquet(staged), key).isEmpty():
+        store, place = store_of(spark, staged)
+        store.delete(place, True)
         raise KeyViolation(f"{path}: {key} is not a key")
-    return written
+    swap_in(spark, staged, path)
+    return spark.read.schema(df.schema).parquet(path)

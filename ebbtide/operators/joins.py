@@ -38,7 +38,7 @@ def weighted_draw(
     total = weighted.agg(F.sum("_w").alias("total")).scalar()
     probes = draws.withColumn(
         "_at", F.least(F.floor(uniform(draw_key, seed) * total).cast("bigint"), total - F.lit(1)))
-    return carry_forward(starts, probes, "_at", pool_key, total, cells).drop("_at")
+    return carry_forward(starts, probes, "_at", pool_key, total).drop("_at")
 
 
 def compare_versions(a: DataFrame, b: DataFrame, key: list[str], value: str) -> DataFrame:

@@ -15,13 +15,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CELLS = 65536
+from ebbtide.functions.columns import join_by
+
+CELLS = 256
+#: Slices of the integer positions that ``carry_forward`` cuts.
+POSITIONS = 65536
 _ALL = "_all"
 
 
-def _spread(value: Column) -> Column:
-    """Monotone stretch, so that heavy tails do not share one slice."""
-    return F.signum(value) * F.log1p(F.abs(value))
+def slice_edges(df: DataFrame, by: list[str], value: str, cells: int) -> DataFrame:
+    """by, _edges: up to ``cells - 1`` of each group's values, those of the smallest hash, in order.
+
+    They are a sample of the distinct values, so slices between them hold like numbers of rows however
+    crowded or far apart the values are. The choice depends on the values alone.
+    """
+    order = Window.partitionBy(*by).orderBy(F.xxhash64(F.col(value).cast("double")), value)
+    picked = df.select(*by, value).withColumn("_r", F.row_number().over(order)).filter(F.col("_r") < cells)
+    return picked.groupBy(*by).agg(F.sort_array(F.collect_list(value)).alias("_edges"))
 
 
 def ordered_prefix(
@@ -31,9 +41,9 @@ def ordered_prefix(
     """Add running and total sums to a frame with one row per (by, value).
 
     Result columns: by, value, sums, ``carry``, ``cum_<s>`` (up to and including the value),
-    ``total_<s>`` and ``next_value`` (null at the end). With ``few_groups`` (columns x
-    windows) the group ranges travel as a broadcast; a caller whose groups are not bounded
-    that way turns it off and gets an ordinary join. Rows with a null value are left out.
+    ``total_<s>`` and ``next_value`` (null at the end). Rows with a null value are left out; a null in
+    ``by`` is a group of its own. Each group is cut into slices at some of its own values. ``few_groups``
+    is kept for callers; the size of the edge table decides how it is joined.
     """
     constant = not by
     if constant:
@@ -41,27 +51,25 @@ def ordered_prefix(
         df = df.withColumn(_ALL, F.lit(0))
     v = F.col(value)
     df = df.select(*by, value, *sums, *carry).filter(v.isNotNull() & ~F.isnan(v.cast("double")))
-    g = _spread(v.cast("double"))
-    ranges = df.groupBy(*by).agg(
-        F.min(g).alias("_lo"), F.max(g).alias("_hi"), *[F.sum(s).alias(f"total_{s}") for s in sums]
-    )
-    slot = F.when(F.col("_hi") > F.col("_lo"),
-                  F.least(F.floor((g - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * cells), F.lit(cells - 1)))
-    celled = df.join(F.broadcast(ranges) if few_groups else ranges, by).withColumn("_cell", F.coalesce(slot, F.lit(0)).cast("int"))
+    edges = slice_edges(df, by, value, cells)
+    celled = join_by(df, edges, by, "left").withColumn(
+        "_cell", F.when(F.col("_edges").isNull(), 0).otherwise(F.size(F.filter("_edges", lambda e: e < v)))).drop("_edges")
 
     per_cell = celled.groupBy(*by, "_cell").agg(
         *[F.sum(s).alias(f"_cell_{s}") for s in sums], F.min(value).alias("_first")
     )
     across = Window.partitionBy(*by).orderBy("_cell")
     before = across.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*by)
     offsets = per_cell.select(
         *by, "_cell",
         *[F.coalesce(F.sum(f"_cell_{s}").over(before), F.lit(0)).alias(f"_before_{s}") for s in sums],
+        *[F.sum(f"_cell_{s}").over(whole).alias(f"total_{s}") for s in sums],
         F.lead("_first").over(across).alias("_next_first"),
     )
     inside = Window.partitionBy(*by, "_cell").orderBy(value)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = celled.join(offsets, [*by, "_cell"]).select(
+    out = join_by(celled, offsets, [*by, "_cell"]).select(
         *by, value, *sums, *carry,
         *[(F.col(f"_before_{s}") + F.sum(s).over(upto)).alias(f"cum_{s}") for s in sums],
         *[F.col(f"total_{s}") for s in sums],
@@ -94,7 +102,7 @@ def exact_quantiles(
 
 
 def carry_forward(
-    marks: DataFrame, probes: DataFrame, position: str, carried: str, span: Column, cells: int = CELLS
+    marks: DataFrame, probes: DataFrame, position: str, carried: str, span: Column, cells: int = POSITIONS
 ) -> DataFrame:
     """For every probe, the ``carried`` value of the last mark at or before it.
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ebbtide.functions.columns import join_by
 from ebbtide.operators.ordered import exact_quantiles
 from ebbtide.sources.sinks import materialize_once
 
@@ -81,11 +82,11 @@ def column_profile(
     single = _wide_statistics(df, by, numeric, categorical)
     counts = materialize_once(value_counts(df, by, numeric, categorical), "value-counts")
     distinct = counts.groupBy(*keys).agg(F.count("*").alias("distinct_count"))
-    out = single.join(distinct, keys, "left").withColumn("distinct_count", F.coalesce("distinct_count", F.lit(0)))
+    out = join_by(single, distinct, keys, "left").withColumn("distinct_count", F.coalesce("distinct_count", F.lit(0)))
     if not numeric:
         return out.withColumns({q: F.lit(None).cast("double") for q in QUANTILES})
     numbers = counts.filter(F.col("number").isNotNull())
-    return out.join(exact_quantiles(numbers, keys, "number", "n", QUANTILES, few_groups=few_groups), keys, "left")
+    return join_by(out, exact_quantiles(numbers, keys, "number", "n", QUANTILES, few_groups=few_groups), keys, "left")
 
 
 def fill_placeholders(template: str, values: Mapping[str, str]) -> str:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ebbtide.functions.columns import join_by
 from ebbtide.operators.ordered import ordered_prefix
 
 CLIP = 1e-15
@@ -66,7 +67,7 @@ def quality(
     if probability:
         auc = roc_auc(rows, label, probability, by, few_groups)
         if by:
-            out = out.join(auc, by, "left")
+            out = join_by(out, auc, by, "left")
         else:
             out = out.withColumn("roc_auc", auc.select("roc_auc").scalar())
     return out

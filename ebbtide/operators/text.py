@@ -31,15 +31,26 @@ def with_scorer(
     return df.mapInPandas(scorer, schema)
 
 
-def keyword_hits(text: Column, keywords: Sequence[str]) -> Column:
-    return F.size(F.filter(words(text), lambda w: w.isin(*keywords)))
+def keyword_hits(df: DataFrame, text: str, lists: Mapping[str, Sequence[str]], key: str | None = None) -> DataFrame:
+    """How often words of each list stand in the text, by row, or summed by ``key``.
+
+    A text is split into words once. Sums of one key have a map-side part, so a key may have any number of rows.
+    """
+    split = df.withColumn("_words", words(F.coalesce(F.col(text), F.lit(""))))
+
+    def count(listed: Sequence[str]) -> Column:
+        return F.size(F.filter("_words", lambda w: w.isin(*listed)))
+
+    hits = split.withColumns({name: count(k) for name, k in lists.items()}).drop("_words")
+    return hits.groupBy(key).agg(*[F.sum(name).alias(name) for name in lists]) if key else hits
 
 
-def classify(df: DataFrame, text: str, labels: Mapping[str, Sequence[str]], default: str, out: str = "label") -> DataFrame:
-    """Exactly one label per row: most keyword hits, ties to the label named first, no hit to the default."""
+def classify(
+    df: DataFrame, text: str, labels: Mapping[str, Sequence[str]], default: str, out: str = "label", key: str | None = None
+) -> DataFrame:
+    """Exactly one label per row, or per ``key``: most keyword hits, ties to the label named first, no hit to the default."""
     scores = [f"_score_{i}" for i in range(len(labels))]
-    scored = df.withColumns({
-        s: keyword_hits(F.coalesce(F.col(text), F.lit("")), k) for s, k in zip(scores, labels.values())})
+    scored = keyword_hits(df, text, dict(zip(scores, labels.values())), key)
     best = F.greatest(*scores) if len(scores) > 1 else F.col(scores[0])
     choice = F.when(best == 0, F.lit(default))
     for s, label in zip(scores, labels):
@@ -47,11 +58,11 @@ def classify(df: DataFrame, text: str, labels: Mapping[str, Sequence[str]], defa
     return scored.withColumn(out, choice).drop(*scores)
 
 
-def sentiment(df: DataFrame, text: str, positive: Sequence[str], negative: Sequence[str], out: str = "sentiment") -> DataFrame:
-    """positive, negative, neutral (no hits) or mixed (the weaker side has at least half the hits)."""
-    scored = df.withColumns({
-        "_pos": keyword_hits(F.coalesce(F.col(text), F.lit("")), positive),
-        "_neg": keyword_hits(F.coalesce(F.col(text), F.lit("")), negative)})
+def sentiment(
+    df: DataFrame, text: str, positive: Sequence[str], negative: Sequence[str], out: str = "sentiment", key: str | None = None
+) -> DataFrame:
+    """positive, negative, neutral (no hits) or mixed (the weaker side has at least half the hits), per row or per ``key``."""
+    scored = keyword_hits(df, text, {"_pos": positive, "_neg": negative}, key)
     pos, neg = F.col("_pos"), F.col("_neg")
     verdict = (
         F.when((pos == 0) & (neg == 0), "neutral")
@@ -61,23 +72,28 @@ def sentiment(df: DataFrame, text: str, positive: Sequence[str], negative: Seque
     return scored.withColumn(out, verdict).drop("_pos", "_neg")
 
 
-def summarize(df: DataFrame, keys: str | Sequence[str], text: str, out: str = "summary") -> DataFrame:
-    """The sentence whose words are the most frequent in their own text; ties to the earliest.
+def summarize(df: DataFrame, key: str, text: str, out: str = "summary", order: str | None = None) -> DataFrame:
+    """One row per key: the sentence whose words are the most frequent among all of the key's; ties to the earliest.
 
-    The texts are distributed by key once; every later step groups within a key and
-    reuses that placement.
+    A key may have several rows; ``order`` then says which is earlier, and rows without it come last. A
+    key without words has a null summary. Word counts by key have a map-side part.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    placed = df.select(*keys, text).repartition(*keys)
-    sentences = F.transform(F.split(F.col(text), SENTENCE_END), lambda s: F.trim(s))
-    spoken = placed.select(*keys, F.posexplode(sentences).alias("_s", "_sentence")).select(
-        *keys, "_s", F.explode(words(F.col("_sentence"))).alias("_w"))
-    counted = spoken.groupBy(*keys, "_s", "_w").agg(F.count("*").alias("_c"))
-    weighted = counted.withColumn("_tf", F.sum("_c").over(Window.partitionBy(*keys, "_w")))
-    scored = weighted.groupBy(*keys, "_s").agg(
-        (F.sum(F.col("_c") * F.col("_tf")).cast("double") / F.sum("_c")).alias("_score"))
-    best = scored.groupBy(*keys).agg(F.max_by("_s", F.struct(F.col("_score"), -F.col("_s"))).alias("_best"))
-    return placed.join(best, keys, "left").select(*keys, F.get(sentences, F.col("_best")).alias(out))
+    place = F.coalesce(F.col(order).cast("bigint"), F.lit((1 << 63) - 1)) if order else F.lit(0).cast("bigint")
+    sentences = df.select(key, place.alias("_o"), F.xxhash64(text).alias("_h"), F.posexplode(
+        F.transform(F.split(F.col(text), SENTENCE_END), lambda s: F.trim(s))).alias("_s", "_sentence"))
+    at = [key, "_o", "_h", "_s"]
+    counted = sentences.select(*at, F.explode(words(F.col("_sentence"))).alias("_w")).groupBy(*at, "_w").agg(F.count("*").alias("_c"))
+    weighted = counted.join(counted.groupBy(key, "_w").agg(F.sum("_c").alias("_tf")), [key, "_w"])
+    scored = weighted.groupBy(*at).agg((F.sum(F.col("_c") * F.col("_tf")).cast("double") / F.sum("_c")).alias("_score"))
+    best = scored.groupBy(key).agg(F.min(F.struct((-F.col("_score")).alias("_score"), "_o", "_h", "_s")).alias("_b")).select(key, "_b._o", "_b._h", "_b._s")
+    said = sentences.join(best, at).groupBy(key).agg(F.min("_sentence").alias(out))
+    return df.select(key).distinct().join(said, key, "left")
+
+
+def transcript_lines(turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """key, turn, line: each turn as a 'Role: text' line."""
+    line = F.concat(F.initcap(role), F.lit(": "), F.coalesce(F.col(text), F.lit("")))
+    return turns.select(key, order, line.alias("line"))
 
 
 def assemble_transcripts(

@@ -15,30 +15,32 @@ def _words(x: str) -> str:
 
 VIEWS["examples"] = f"""select a.conv_id || '-' || a.turn as example_id, a.text as question, b.text as response,
  list_filter({_words('a.text')}, lambda w: len(w) >= 5) as long_words
- from conversations a join conversations b on a.conv_id=b.conv_id and b.turn=a.turn+1
- where a.role='user' and b.role='assistant'"""
+ from conversations a left join conversations b on a.conv_id=b.conv_id and b.turn=a.turn+1 and b.role='assistant'
+ where a.role='user'"""
 # First three distinct long words, in order of appearance.
 VIEWS["example_facts"] = """select *, list_filter(long_words, lambda w, i: list_position(long_words, w) = i)[1:3] as facts
  from examples"""
 
 
 def _scored_sql(source):
-    q, r = _words("question"), _words("response")
+    response = "coalesce(response, '')"
+    q, r = _words("question"), _words(response)
     common = f"len(list_distinct(list_intersect({q}, {r})))"
     union = f"(len(list_distinct({q})) + len(list_distinct({r})) - {common})"
-    unsafe = ev.UNSAFE.replace("'", "''")
+    # Written apart from the operator's own pattern.
+    unsafe = "[\\w.]+@[\\w.]+|[0-9]{12}|([0-9]{1,3}[.]){3}[0-9]"
     checks = {
         "relevance": f"case when {union} > 0 then {common}::double/{union} else 0e0 end",
-        "safety": f"case when regexp_matches(response, '{unsafe}') then 0e0 else 1e0 end",
+        "safety": f"case when regexp_matches({response}, '{unsafe}') then 0e0 else 1e0 end",
         "guideline_specific": f"case when len({r}) >= 10 then 1e0 else 0e0 end",
         "guideline_grounded": f"case when len(list_intersect(facts, {r})) > 0 then 1e0 else 0e0 end",
-        "guideline_finished": "case when regexp_matches(trim(response), '[.!?]$') then 1e0 else 0e0 end",
+        "guideline_finished": "case when regexp_matches(trim(coalesce(response, '')), '[.!?]$') then 1e0 else 0e0 end",
     }
     return " union all ".join(f"select example_id, '{n}' as scorer, {c} as score from {source}" for n, c in checks.items())
 
 
 VIEWS["scores"] = _scored_sql("example_facts")
-VIEWS["example_facts_v2"] = """select * replace ('Situation: ' || question || chr(10) || response as response)
+VIEWS["example_facts_v2"] = """select * replace (concat_ws(chr(10), 'Situation: ' || question, response) as response)
  from example_facts"""
 VIEWS["scores_v2"] = _scored_sql("example_facts_v2")
 
@@ -50,7 +52,7 @@ def _examples(t):
 def _improved(t):
     """The second run: the reply opens by restating the situation."""
     return _examples(t).withColumn(
-        "response", F.concat(F.lit("Situation: "), ev.question(), F.lit("\n"), F.col("response")))
+        "response", F.concat_ws("\n", F.concat(F.lit("Situation: "), ev.question()), "response"))
 
 
 @query("eval_dataset", """select example_id, question, array_to_string(facts, ',') as expected_facts, response
@@ -89,7 +91,7 @@ def eval_compare(t):
 
 @query("trace_rollup", """select conv_id, count(*) as spans, count(*) filter (where role='user') as user_spans,
  count(*) filter (where role='assistant') as assistant_spans, count(*) filter (where role='system') as system_spans,
- least(count(*) filter (where role='assistant'), 8) as iterations, arg_min(role, turn) as root_role,
- substring(arg_max(text, turn), 1, 2000) as result from conversations group by conv_id""")
+ count(*) filter (where role='assistant') as iterations, arg_min(role, turn) as root_role,
+ arg_max(text, turn) as result from conversations group by conv_id""")
 def trace_rollup(t):
     return ev.trace_rollup(t.raw("conversations"))

@@ -284,14 +284,20 @@ def drift_ks_pvalue(t):
         "window", "column_name", F.round("ks_test.pvalue", 6).alias("ks_pvalue"))
 
 
-@query("drift_chi2", """select "window", column_name, round(chi2,6) as chi2_statistic, degrees,
- case degrees when 2 then round(exp(-chi2/2),6) end as chi2_pvalue_two_degrees
- from distances where kind='categorical'""")
+# erf(sqrt(chi2 / 2)) by its series of positive terms; with it the tails of one and three degrees have closed forms.
+_ERF = """(2/sqrt(pi()) * exp(-chi2/2) * list_sum(list_transform(range(0, 120),
+ lambda n: pow(2e0, n) * pow(sqrt(chi2/2), 2*n+1) / list_product(list_transform(range(0, n+1), lambda k: 2e0*k+1)))))"""
+
+
+@query("drift_chi2", f"""select "window", column_name, round(chi2,6) as chi2_statistic, degrees,
+ round(case degrees when 2 then exp(-chi2/2) when 4 then exp(-chi2/2) * (1 + chi2/2)
+  else greatest(1 - {_ERF} + (case degrees when 3 then sqrt(2*chi2/pi()) * exp(-chi2/2) else 0 end), 0) end, 6) as chi2_pvalue
+ from distances where kind='categorical' and degrees between 1 and 4""")
 def drift_chi2(t):
     tested = _binned_only(t).filter("chi_squared_test is not null")
     return tested.select(
         "window", "column_name", F.round("chi_squared_test.statistic", 6).alias("chi2_statistic"), "degrees",
-        F.when(F.col("degrees") == 2, F.round("chi_squared_test.pvalue", 6)).alias("chi2_pvalue_two_degrees"))
+        F.round("chi_squared_test.pvalue", 6).alias("chi2_pvalue"))
 
 
 @query("drift_psi", 'select "window", column_name, round(psi,6) as psi from distances')
@@ -339,8 +345,8 @@ def drift_rank(t):
     return worst.withColumn("place", F.row_number().over(Window.orderBy(F.desc("max_psi"), "column_name")))
 
 
-_ALERT_SQL = """case when psi > 0.2 then 'CRITICAL: major distribution shift'
- when psi > 0.1 then 'WARNING: moderate drift' else 'ALERT: statistically significant drift' end"""
+_ALERT_SQL = """case when psi > 0.2 then 'severe: the distribution has moved far'
+ when psi > 0.1 then 'watch: the distribution is moving' else 'note: a test tells the samples apart' end"""
 
 
 @query("drift_alerts", f"""select "window", column_name, round(psi,6) as psi, {_ALERT_SQL} as status

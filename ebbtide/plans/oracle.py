@@ -7,7 +7,7 @@ import re
 
 def u(key: str, tag: str) -> str:
     """The keyed uniform in DuckDB's dialect."""
-    return f"(('0x'||substr(md5(concat(cast({key} as varchar),'|{tag}')),1,8))::BIGINT/4294967296.0::DOUBLE)"
+    return f"(('0x'||substr(md5(concat(cast({key} as varchar),'|{tag}')),1,13))::BIGINT/4503599627370496.0::DOUBLE)"
 
 
 def _service(tag: str, p: float) -> str:

@@ -23,14 +23,26 @@ def stream_sync(t):
     return _synced(t).select("doc_id", "lang", F.size("vector").alias("width"))
 
 
-@query("incremental_sync", """select lang, count(*) as n from documents group by lang""")
+@query("incremental_sync", """select doc_id, case when doc_id % 5 = 1 then upper(lang) else lang end as lang, 256 as width
+ from documents where doc_id % 7 <> 3""")
 def incremental_sync(t):
-    """The sync run twice on one checkpoint: the second run finds nothing new and changes nothing."""
-    target, checkpoint = shared_dir(t.spark, "synced"), shared_dir(t.spark, "sync-checkpoint")
-    for _ in range(2):
-        ss.sync(ss.file_stream(t.spark, t.root, "documents"), "doc_id", target, checkpoint,
-                lambda batch: ss.embed(batch.select("doc_id", "lang", "text")).drop("text"))
-    return ss.latest(t.spark, target, "doc_id").groupBy("lang").agg(F.count("*").alias("n"))
+    """Upkeep in two runs on one checkpoint: the first takes most of the table, the second finds rows that
+    were added, changed (their language in capitals) and deleted. The target is then compacted."""
+    source, target, checkpoint = (shared_dir(t.spark, n) for n in ("source", "synced", "sync-checkpoint"))
+    docs = t.raw("documents").select("doc_id", "lang", "text").withColumn(ss.DELETED, F.lit(False))
+
+    def run(changes, folder):
+        changes.write.parquet(f"{source}/{folder}")
+        stream = t.spark.readStream.schema(docs.schema).option("recursiveFileLookup", "true").parquet(source)
+        ss.sync(stream, "doc_id", target, checkpoint, lambda batch: ss.embed(batch).drop("text"))
+
+    run(docs.filter("doc_id % 3 <> 0"), "first")
+    added = docs.filter("doc_id % 3 = 0 and doc_id % 5 <> 1 and doc_id % 7 <> 3")
+    changed = docs.filter("doc_id % 5 = 1 and doc_id % 7 <> 3").withColumn("lang", F.upper("lang"))
+    gone = docs.filter("doc_id % 7 = 3").withColumn(ss.DELETED, F.lit(True))
+    run(added.union(changed).union(gone), "second")
+    ss.compact(t.spark, target, "doc_id")
+    return ss.latest(t.spark, target, "doc_id").select("doc_id", "lang", F.size("vector").alias("width"))
 
 
 @query("stream_profile", """with w as (select date_trunc('day', ts)::timestamp as window_start, event_type, count(*) as count,

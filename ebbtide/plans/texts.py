@@ -47,6 +47,10 @@ def _transcripts(t):
     return tx.assemble_transcripts(t.raw("conversations"))
 
 
+def _lines(t):
+    return tx.transcript_lines(t.raw("conversations"))
+
+
 @query("transcript_assemble", "select conv_id, part, n_turns, transcript_text from transcripts")
 def transcript_assemble(t):
     return _transcripts(t)
@@ -74,7 +78,7 @@ _INTENT_SCORES, _INTENT = _argmax_sql("transcript_text", INTENTS, "general_inqui
 
 @query("text_classify", f"select conv_id, {_INTENT} as intent from (select conv_id, {_INTENT_SCORES} from transcripts)")
 def text_classify(t):
-    return tx.classify(_transcripts(t), "transcript_text", INTENTS, "general_inquiry", "intent").select("conv_id", "intent")
+    return tx.classify(_lines(t), "line", INTENTS, "general_inquiry", "intent", key="conv_id").select("conv_id", "intent")
 
 
 @query("text_classify_fit")
@@ -82,7 +86,7 @@ def text_classify_fit(t):
     """The supervised variant: tf-idf and logistic regression on the quality labels."""
     from ebbtide.operators.churn_model import fit_text_classifier
 
-    texts = t.spread("documents", "doc_id").select("doc_id", "text")
+    texts = t.raw("documents").select("doc_id", "text")
     labelled = texts.join(t.raw("labels").select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
     model = fit_text_classifier(labelled, "text", "label")
     return model.transform(texts).groupBy("prediction").agg(F.count("*").alias("n"))
@@ -95,9 +99,9 @@ def text_classify_fit(t):
  f as (select *, sum(c) over (partition by conv_id, w) as tf from w),
  b as (select conv_id, s, sum(c*tf)::double/sum(c) as score from f group by all),
  r as (select *, row_number() over (partition by conv_id order by score desc, s) as rn from b)
- select l.conv_id, 0::bigint as part, l.l[(r.s+1)::bigint] as summary from l left join r on r.conv_id=l.conv_id and rn=1""")
+ select l.conv_id, l.l[(r.s+1)::bigint] as summary from l left join r on r.conv_id=l.conv_id and rn=1""")
 def text_summarize(t):
-    return tx.summarize(_transcripts(t), ["conv_id", "part"], "transcript_text")
+    return tx.summarize(_lines(t), "conv_id", "line", order="turn")
 
 
 _POS, _NEG = _hits("transcript_text", POSITIVE), _hits("transcript_text", NEGATIVE)
@@ -107,7 +111,7 @@ _POS, _NEG = _hits("transcript_text", POSITIVE), _hits("transcript_text", NEGATI
  then 'mixed' when p>n then 'positive' else 'negative' end as sentiment
  from (select conv_id, {_POS} as p, {_NEG} as n from transcripts)""")
 def text_sentiment(t):
-    return tx.sentiment(_transcripts(t), "transcript_text", POSITIVE, NEGATIVE).select("conv_id", "sentiment")
+    return tx.sentiment(_lines(t), "line", POSITIVE, NEGATIVE, key="conv_id").select("conv_id", "sentiment")
 
 
 _RULES_SQL = [
@@ -140,7 +144,7 @@ def _first(name):
 
 @query("extract_fields", "select doc_id, " + ", ".join(f"{_first(f)} as {f}" for f in FIELDS) + " from documents")
 def extract_fields(t):
-    return t.spread("documents", "doc_id").select("doc_id", tx.extract_fields(F.col("text"), FIELDS).alias("x")).select("doc_id", "x.*")
+    return t.raw("documents").select("doc_id", tx.extract_fields(F.col("text"), FIELDS).alias("x")).select("doc_id", "x.*")
 
 
 @query("extract_fields_v2", f"""select doc_id, {_first('email')} as email, {_first('account')} as account,
@@ -148,7 +152,7 @@ def extract_fields(t):
  from documents""")
 def extract_fields_v2(t):
     found = tx.extract_fields_v2(F.col("text"), '["email", "account", "plan"]', FIELDS)
-    return t.spread("documents", "doc_id").select("doc_id", found.alias("x")).select("doc_id", "x.response.*", "x.error_message")
+    return t.raw("documents").select("doc_id", found.alias("x")).select("doc_id", "x.response.*", "x.error_message")
 
 
 def _audit_sql(name):
@@ -163,7 +167,7 @@ VIEWS["audited"] = """select doc_id, field, m[1] as value, case when len(m)>0 th
 
 
 def _audited(t):
-    return tx.extract_audited(t.spread("documents", "doc_id").select("doc_id", "text"), "text", FIELDS, "x").drop("text")
+    return tx.extract_audited(t.raw("documents").select("doc_id", "text"), "text", FIELDS, "x").drop("text")
 
 
 @query("extract_audited", """select doc_id, field, value, round(confidence_score,6) as confidence_score,
@@ -218,12 +222,12 @@ VIEWS["elements"] = f"""select page_id, (row_number() over (partition by page_id
 def _parsed(t):
     """Parsed once and stored: every document query reads the same copy."""
     return t.once("parsed", lambda: materialize_once(
-        dc.parse_documents(t.spread("pages", "page_id"), "page_id", "html").select("page_id", "url", "parsed"), "parsed"))
+        dc.parse_documents(t.raw("pages"), "page_id", "html").select("page_id", "url", "parsed"), "parsed"))
 
 
 @query("parse_document", "select page_id, id, type, content, null::varchar as error_status from elements")
 def parse_document(t):
-    parsed = dc.parse_documents(t.spread("pages", "page_id"), "page_id", "html")
+    parsed = dc.parse_documents(t.raw("pages"), "page_id", "html")
     return parsed.select("page_id", F.explode("parsed.document.elements").alias("e"), "parsed.error_status").select(
         "page_id", "e.id", "e.type", "e.content", "error_status")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,13 +29,40 @@ def materialize_once(df: DataFrame, label: str) -> DataFrame:
 
 
 def create_table_as(df: DataFrame, name: str) -> DataFrame:
-    """CREATE OR REPLACE TABLE .. AS SELECT, with the files in the shared folder."""
+    """CREATE OR REPLACE TABLE .. AS SELECT, with the files in the shared folder.
+
+    The new files are complete before the old table goes, so a failed query leaves it as it is.
+    """
     spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
-    df.write.option("path", shared_dir(spark, name)).saveAsTable(name)
+    spark.catalog.createTable(name, path=path, source="parquet")
     return spark.table(name)
 
 
+def store_of(spark: SparkSession, path: str):
+    """(file system, path) of the session's Hadoop configuration."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def swap_in(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a staged folder in the place of another, which is kept until the new one stands."""
+    store, new = store_of(spark, staged)
+    _, old = store_of(spark, path)
+    aside = old.suffix("-replaced-" + uuid.uuid4().hex)
+    had = store.exists(old)
+    if had and not store.rename(old, aside):
+        raise OSError(f"{path} cannot be moved aside")
+    if not store.rename(new, old):
+        if had:
+            store.rename(aside, old)
+        raise OSError(f"{staged} cannot be moved to {path}")
+    if had:
+        store.delete(aside, True)
+
+
 def table_or_else(spark: SparkSession, name: str, stand_in: Callable[[], DataFrame]) -> DataFrame:
     """The named table if it exists, else a computed stand-in."""
     return spark.table(name) if spark.catalog.tableExists(name) else stand_in()

@@ -126,17 +126,6 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return scan_table(self.spark, self.root, name)
 
-    def spread(self, name: str, key: str) -> DataFrame:
-        """A scan for costly row-wise work, on all cores also when the input is small.
-
-        A small file may be a single task. Only when the scan has fewer splits than
-        there are cores, and so little data, is it dealt out by key; a large table is
-        left where it is read.
-        """
-        scan = self.raw(name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
-
     @cached_property
     def customers(self) -> DataFrame:
         return customers_view(self.raw("customer"), self.raw("orders"))

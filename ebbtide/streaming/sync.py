@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.feature import HashingTF, Normalizer
@@ -12,6 +13,10 @@ from pyspark.sql import functions as F
 
 from ebbtide.operators.retrieve import words
 from ebbtide.schemas import schema_of
+from ebbtide.sources.sinks import store_of, swap_in
+
+#: A derived row with this column set removes its key.
+DELETED = "_deleted"
 
 
 def embed(articles: DataFrame, text: str = "text", size: int = 256) -> DataFrame:
@@ -23,10 +28,16 @@ def embed(articles: DataFrame, text: str = "text", size: int = 256) -> DataFrame
 
 
 def file_stream(spark: SparkSession, root: str, name: str, files_per_batch: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema_of(name)).option("pathGlobFilter", f"{name}*.parquet")
+    """A stream over a stored table, which may be one file or a folder of part files; none at all is an error."""
+    reader = spark.readStream.schema(schema_of(name))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(root)
+    store, place = store_of(spark, os.path.join(root, f"{name}.parquet"))
+    if store.exists(place) and store.getFileStatus(place).isDirectory():
+        return reader.parquet(place.toString())
+    if not store.globStatus(store_of(spark, os.path.join(root, f"{name}*.parquet"))[1]):
+        raise FileNotFoundError(f"no file or folder of {name} under {root}")
+    return reader.option("pathGlobFilter", f"{name}*.parquet").parquet(root)
 
 
 def sync(stream: DataFrame, key: str, target: str, checkpoint: str, derive: Callable[[DataFrame], DataFrame]) -> None:
@@ -51,4 +62,16 @@ def latest(spark: SparkSession, target: str, key: str, order: str | None = None)
     rows = spark.read.parquet(target)
     rest = [c for c in rows.columns if c not in (key, "batch")]
     by = F.struct(F.col("batch"), *([F.col(order)] if order else []))
-    return rows.groupBy(key).agg(F.max_by(F.struct(*rest), by).alias("_row")).select(key, "_row.*")
+    newest = rows.groupBy(key).agg(F.max_by(F.struct(*rest), by).alias("_row")).select(key, "_row.*")
+    return newest.filter(f"not coalesce({DELETED}, false)").drop(DELETED) if DELETED in rest else newest
+
+
+def compact(spark: SparkSession, target: str, key: str, order: str | None = None) -> None:
+    """Replace all batches by one that holds the current rows, under the number of the newest.
+
+    Batches written later have higher numbers, so the upkeep goes on as before.
+    """
+    newest = spark.read.parquet(target).agg(F.max("batch")).first()[0]
+    staged = f"{target.rstrip('/')}-compact-{uuid.uuid4().hex}"
+    latest(spark, target, key, order).write.parquet(os.path.join(staged, f"batch={newest}"))
+    swap_in(spark, staged, target)

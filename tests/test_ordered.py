@@ -9,8 +9,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ebbtide.operators.joins import weighted_draw
-from ebbtide.operators.ordered import exact_quantiles, ordered_prefix
+from ebbtide.operators.ordered import exact_quantiles, ordered_prefix, slice_edges
 from ebbtide.functions.hashing import uniform
+from ebbtide.operators.profile import column_profile
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -55,3 +56,18 @@ def test_weighted_draw_is_the_interval_lookup(spark, cells, partitions):
         at = int(u * run)
         assert got[n] == next(k for lo, hi, k in edges if lo <= at < hi)
     assert not {1, 6} & set(got.values())
+
+
+def test_slices_follow_the_rows(spark):
+    """Crowded values and one outlier: no slice holds much more than its share."""
+    crowded = spark.range(200_000).select((F.lit(1e15) + F.col("id")).alias("v")).union(spark.createDataFrame([(0.0,)], "v double"))
+    crowded = crowded.withColumn("g", F.lit(None).cast("string"))
+    edges = slice_edges(crowded, ["g"], "v", 1024).first()["_edges"]
+    inner = np.searchsorted(edges, 1e15 + np.arange(200_000), side="left")
+    assert np.bincount(inner).max() <= 0.01 * 200_001
+
+
+def test_a_null_group_is_a_group(spark):
+    df = spark.createDataFrame([(None, 3.0), (None, 4.0), ("a", 1.0)], "g string, v double")
+    got = {r.g: (r.distinct_count, r.median) for r in column_profile(df, ["g"], ["v"]).collect()}
+    assert got == {None: (2, 3.5), "a": (1, 1.0)}
