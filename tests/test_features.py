@@ -112,3 +112,12 @@ def test_measures_ignore_partitioning(tables, partitions):
     view = customer_metrics(tables.customers.repartition(partitions))
     total = view.query([], ["total_customers", "churned_customers"]).first()
     assert tuple(total) == (150, 32)
+
+
+def test_a_bad_key_leaves_the_table(spark):
+    path = shared_dir(spark, "kept")
+    ft.keyed_write(spark.createDataFrame([(1, 2), (2, 3)], "k int, v int"), path, ["k"])
+    with pytest.raises(ft.KeyViolation):
+        ft.keyed_write(spark.createDataFrame([(1, 2), (1, 3)], "k int, v int"), path, ["k"])
+    assert spark.read.parquet(path).count() == 2
+    assert ft.keyed_write(spark.createDataFrame([(5, 5)], "k int, v int"), path, ["k"]).count() == 1

@@ -132,3 +132,23 @@ def test_stream_equals_batch_on_closed_windows(spark, tables):
     keys = ["window_start", "event_type", "count", "min", "max"]
     assert closed.select(*keys).exceptAll(batch.select(*keys)).count() == 0
     assert 0 < closed.count() < batch.count()  # the last windows stay open
+
+
+def test_streams_read_folders(spark, tmp_path):
+    data = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    data.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    target = f"{tmp_path}/target"
+    ss.sync(ss.file_stream(spark, str(tmp_path), "events"), "event_id", target, f"{tmp_path}/ck", lambda b: b)
+    assert ss.latest(spark, target, "event_id").count() == data.count()
+    with pytest.raises(FileNotFoundError):
+        ss.file_stream(spark, str(tmp_path), "documents")
+
+
+def test_a_version_is_never_overwritten(spark):
+    from pyspark.ml import Pipeline
+
+    store = cm.ModelStore(spark, shared_dir(spark, "store"))
+    model = Pipeline(stages=[]).fit(spark.range(1))
+    model.write().save(f"{store.root}/m/v1")  # another writer was first
+    with pytest.raises(Exception, match="exist"):
+        store.register("m", model)

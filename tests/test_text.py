@@ -128,3 +128,20 @@ def test_eval(spark):
     assert all(r.delta == 0 for r in same.collect())
     roll = {r.conv_id: r for r in ev.trace_rollup(turns).collect()}
     assert roll[1].spans == 3 and roll[1].iterations == 1 and roll[1].result == "thanks" and roll[1].root_role == "user"
+
+
+def test_long_conversations_stay_whole(spark):
+    turns = spark.range(1500).select(F.lit(7).alias("conv_id"), F.col("id").alias("turn"), F.lit("agent").alias("role"), F.when(
+        F.col("id") < 700, "apple is good.").otherwise("pear pear is bad.").alias("text"))
+    lines = tx.transcript_lines(turns)
+    assert rows(tx.classify(lines, "line", {"A": ["apple"], "P": ["pear"]}, "other", key="conv_id")) == [(7, "P")]
+    assert rows(tx.sentiment(lines, "line", ["good"], ["bad"], key="conv_id")) == [(7, "mixed")]
+    assert rows(tx.summarize(lines, "conv_id", "line", order="turn")) == [(7, "Agent: pear pear is bad")]
+
+
+def test_traces_report_true_counts(spark):
+    turns = spark.range(30).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("assistant").alias("role"),
+                                   F.lit("x" * 3000).alias("text"))
+    got = ev.trace_rollup(turns, max_iterations=8, result_characters=10).first()
+    assert got.iterations == 30 and got.over_limit and len(got.result) == 10
+    assert len(ev.trace_rollup(turns).first().result) == 3000
