@@ -11,6 +11,7 @@ from ebbtide.llm.bitpack import read_ids, write_ids
 from ebbtide.llm.decontaminate import decontaminate
 from ebbtide.llm.jaccard import jaccard_join
 from ebbtide.llm.licenses import license_scan
+from ebbtide.llm.oracles import ORACLES  # noqa: F401
 from ebbtide.llm.packing import pack_documents
 from ebbtide.llm.quality import classify
 from ebbtide.llm.runtime import table
@@ -21,7 +22,7 @@ from ebbtide.llm.warc import read_archives, write_archives
 from ebbtide.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
