@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 from collections.abc import Iterator
 
@@ -16,6 +15,8 @@ from ebbtide.session import shared_dir
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Bytes of text that numpy steps work on at once; a longer document is a slice of its own.
 SLICE_BYTES = 4 << 20
+#: Setting by which Spark removes the shuffle files of an execution at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def ensure(spark: SparkSession) -> SparkSession:
@@ -37,14 +38,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost executors.
 
-    The collection that follows lets Spark drop the shuffle files nobody needs any more.
+    What a finished write has shuffled is of no further use, so Spark removes it at once.
     """
     spark = df.sparkSession
     path = shared_dir(spark, label)
-    df.write.parquet(path)
-    del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.parquet(path)
 
 

@@ -26,6 +26,8 @@ from ebbtide.llm.wordhash import blanks, run_hashes, word_hashes, word_spans
 WINDOW, ANCHOR = 13, 5
 #: Places beyond which an anchor is split by window.
 CROWDED = 1000
+#: Bits of the table that keeps most anchors of a single document out of the second shuffle, whatever their number.
+FILTER_BITS = 1 << 25
 
 find_words = re.compile(r"[^\x20\x09-\x0D]+").findall
 
@@ -120,10 +122,28 @@ def chosen_anchors(data: np.ndarray, offsets: np.ndarray, size: int, run: int) -
     return text[first], runs[best[first]].view(np.int64), best[first] - base, place[first] - base, count
 
 
-def _anchors(rows: DataFrame, size: int, run: int) -> DataFrame:
+def _filter(shared: DataFrame, bits: int) -> np.ndarray:
+    """A bit table of the shared anchors: bits / 32 short rows at most are collected. Other anchors that
+    meet a set bit only cost time."""
+    slot = F.pmod("anchor", F.lit(bits))
+    words = shared.select((slot / 32).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast(pmod(anchor, {bits}) % 32 as int))").alias("bit"))
+    got = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    table = np.zeros(bits // 32, np.uint32)
+    table[got["word"].to_numpy()] = got["bits"].to_numpy().astype(np.uint32)
+    return table
+
+
+def _anchors(rows: DataFrame, size: int, run: int, known: np.ndarray | None = None) -> DataFrame:
+    """(anchor, doc_id, row, window) of every anchor, or of those that the bit table may hold."""
+    shared = None if known is None else rows.sparkSession.sparkContext.broadcast(known)
+
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
             text, anchor, _, window, _ = chosen_anchors(*buffers(column(piece, "text")), size, run)
+            if shared is not None:
+                slot = anchor % (len(shared.value) * 32)
+                may = (shared.value[slot >> 5] >> (slot & 31).astype(np.uint32)) & np.uint32(1) == 1
+                text, anchor, window = text[may], anchor[may], window[may]
             at = pa.array(text)
             yield pa.RecordBatch.from_arrays([pa.array(anchor), column(piece, "doc_id").take(at), column(piece, "row").take(at),
                                               pa.array(window.astype(np.int32))], ["anchor", "doc_id", "row", "window"])
@@ -180,8 +200,8 @@ def _first_documents(distinct: DataFrame, size: int) -> DataFrame:
     return parts.mapInArrow(stream, "shard long, key string, firsts array<long>")
 
 
-def remove_repeats(docs: DataFrame, size: int = WINDOW, run: int = ANCHOR, crowded: int = CROWDED, doc_id: str = "doc_id",
-                   text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = WINDOW, run: int = ANCHOR, crowded: int = CROWDED, filter_bits: int = FILTER_BITS,
+                   doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with n_words, n_removed and kept_text: the words, joined by one space, that no window covers
     whose words also stand together in a document of a smaller id.
 
@@ -200,7 +220,8 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, run: int = ANCHOR, crowd
     places = _anchors(rows, size, run)
     shared = stored(places.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).where(
         "a < b").select("anchor", (F.col("n") > crowded).alias("crowded")), "shared-anchors")
-    marks = places.select("anchor", "row", "window").join(shared, "anchor").groupBy("row").agg(
+    again = _anchors(rows, size, run, _filter(shared, filter_bits)).select("anchor", "row", "window")
+    marks = again.join(shared, "anchor").groupBy("row").agg(
         F.collect_set(F.struct("window", "crowded")).alias("marks"))  # no more than a text has words
     marks = stored(marks, "marks")
     cuts = stored(_surroundings(rows.join(marks, "row"), size, run), "surroundings")
