@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# Fixed signatures; the bodies are the plain SQL for them.
 FUNCTIONS = {
     "tool_latest_ticket": """() RETURNS TABLE(ticket_id BIGINT, customer_id BIGINT, created_date TIMESTAMP_NTZ,
         category STRING, priority STRING, status STRING, description STRING)

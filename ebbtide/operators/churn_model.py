@@ -47,7 +47,7 @@ def preprocess_stages(rows: DataFrame) -> list:
     ]
 
 
-# Search ranges: (kind, low, high). Nine parameters, as many as the tuned model has.
+# Search ranges (kind, low, high) of the nine tuned parameters.
 SPACE = {
     "maxIter": ("int", 50, 300), "maxDepth": ("int", 3, 10), "stepSize": ("log", 0.01, 0.3),
     "maxBins": ("int", 16, 128), "minInstancesPerNode": ("int", 5, 50), "subsamplingRate": ("float", 0.5, 1.0),

@@ -7,10 +7,10 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.sources.sinks import store_of, swap_in
-
 from ebbtide.functions.columns import count_yes, safe_divide
+from ebbtide.sources.sinks import store_of, swap_in
 
+# The columns of the feature table.
 TICKET_COUNTS = ("total_tickets", "billing_tickets", "technical_tickets", "cancellation_tickets",
                  "high_priority_tickets")
 FEATURES = (

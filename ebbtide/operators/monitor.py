@@ -41,6 +41,10 @@ def build_baseline(
     return _ordered(stamp_window(scorer(labelled_split(labels, features, "train")), "2025-06-01", model_id))
 
 
+# Fixed values of the simulated drift: charges in percent, months added, share moved to a monthly contract.
+MONTHLY_PERCENT, TOTAL_PERCENT, MONTHS, MONTHLY_SHARE = 115, 120, 6, 0.70
+
+
 def simulate_drift(rows: DataFrame, tag: str = "drift") -> DataFrame:
     """Charges up 15% and 20%, tenure up 6 months, 70% forced to a monthly contract.
 
@@ -51,10 +55,10 @@ def simulate_drift(rows: DataFrame, tag: str = "drift") -> DataFrame:
         return F.floor((whole * percent + 50) / 100).cast("double") / 100
 
     return rows.withColumns({
-        "monthly_charges": raised("monthly_charges", 115),
-        "total_charges": raised("total_charges", 120),
-        "tenure_months": F.col("tenure_months") + 6,
-        "contract_type": F.when(uniform("customer_id", tag) < 0.70, "Month-to-month").otherwise(
+        "monthly_charges": raised("monthly_charges", MONTHLY_PERCENT),
+        "total_charges": raised("total_charges", TOTAL_PERCENT),
+        "tenure_months": F.col("tenure_months") + MONTHS,
+        "contract_type": F.when(uniform("customer_id", tag) < MONTHLY_SHARE, "Month-to-month").otherwise(
             F.col("contract_type")),
     }).withColumn("avg_price_increase", F.col("monthly_charges") / F.greatest("tenure_months", F.lit(1)))
 
