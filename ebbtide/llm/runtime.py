@@ -51,7 +51,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
             spark.conf.unset(CLEANUP)
         else:
             spark.conf.set(CLEANUP, before)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a stored frame that no later step reads."""
+    jvm, spark = df.sparkSession._jvm, df.sparkSession
+    place = jvm.org.apache.hadoop.fs.Path(df._stored_at)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

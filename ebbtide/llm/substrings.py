@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.runtime import buffers, column, ensure, slices, stored
+from ebbtide.llm.runtime import buffers, column, discard, ensure, slices, stored
 from ebbtide.llm.wordhash import blanks, run_hashes, word_hashes, word_spans
 
 WINDOW, ANCHOR = 13, 5
@@ -175,7 +175,7 @@ def _surroundings(rows: DataFrame, size: int, run: int) -> DataFrame:
 
     cuts = rows.mapInArrow(cut, "anchor long, words string, crowded boolean, doc_id long, row long, window int")
     shard = F.when(F.col("crowded"), F.xxhash64("words")).otherwise(F.col("anchor"))
-    return cuts.withColumn("shard", shard).withColumn("key", F.md5("words")).drop("anchor", "crowded")
+    return cuts.withColumn("shard", shard).withColumn("key", F.xxhash64(F.lit("key"), F.col("words"))).drop("anchor", "crowded")
 
 
 def _first_documents(distinct: DataFrame, size: int) -> DataFrame:
@@ -193,11 +193,11 @@ def _first_documents(distinct: DataFrame, size: int) -> DataFrame:
                 if None in found:
                     automaton.add(words, first)
                 firsts.append([first if f is None else f for f in found])
-            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), pa.array(keys, pa.string()),
+            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), pa.array(keys, pa.int64()),
                                               pa.array(firsts, pa.list_(pa.int64()))], ["shard", "key", "firsts"])
 
     parts = distinct.repartition("shard").sortWithinPartitions("shard", "first", "key")
-    return parts.mapInArrow(stream, "shard long, key string, firsts array<long>")
+    return parts.mapInArrow(stream, "shard long, key long, firsts array<long>")
 
 
 def remove_repeats(docs: DataFrame, size: int = WINDOW, run: int = ANCHOR, crowded: int = CROWDED, filter_bits: int = FILTER_BITS,
@@ -225,9 +225,12 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, run: int = ANCHOR, crowd
         F.collect_set(F.struct("window", "crowded")).alias("marks"))  # no more than a text has words
     marks = stored(marks, "marks")
     cuts = stored(_surroundings(rows.join(marks, "row"), size, run), "surroundings")
-    distinct = stored(cuts.groupBy("shard", "key").agg(F.min("doc_id").alias("first"), F.min("words").alias("words")), "shards")
+    distinct = stored(cuts.groupBy("shard", "key", "words").agg(F.min("doc_id").alias("first")), "shards")
+    slim = stored(cuts.select("shard", "key", "doc_id", "row", "window"), "places")
+    discard(cuts)
     firsts = stored(_first_documents(distinct, size), "first-documents")
-    found = cuts.select("shard", "key", "doc_id", "row", "window").join(firsts, ["shard", "key"])
+    discard(distinct)
+    found = slim.join(firsts, ["shard", "key"])
     found = found.select("row", F.filter(F.transform("firsts", lambda f, k: F.when(f < F.col("doc_id"), F.col("window") + k)),
                                          lambda x: x.isNotNull()).alias("w")).where(F.size("w") > 0)
     gone = stored(found.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_list("w"))).alias("windows")), "windows")
