@@ -152,3 +152,12 @@ def test_a_version_is_never_overwritten(spark):
     model.write().save(f"{store.root}/m/v1")  # another writer was first
     with pytest.raises(Exception, match="exist"):
         store.register("m", model)
+
+
+def test_importance_has_every_model_input(tables):
+    from ebbtide.plans import models
+
+    inputs = {c for group in cm.split_columns_by_type(models._split(tables, "val"), cm.SKIP) for c in group}
+    got = models.ml_importance(tables).collect()
+    assert {r.column_name for r in got} == inputs and len(got) == len(inputs) > 5
+    assert sum(r.split_importance for r in got) == pytest.approx(1)
