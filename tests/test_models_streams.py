@@ -154,7 +154,42 @@ def test_a_version_is_never_overwritten(spark):
         store.register("m", model)
 
 
-def test_importance_has_every_model_input(tables):
+@pytest.fixture
+def searches(monkeypatch):
+    """The trials and space that the named queries ask for; the search itself runs in the short space."""
+    from ebbtide.plans import models
+
+    asked, full, tune = [], dict(cm.SPACE), cm.tune
+    monkeypatch.setattr(models, "_SHARED", {})
+    monkeypatch.setattr(cm, "SPACE", SMALL_SPACE)
+
+    def counted(train, val, n_trials=20, **rest):
+        asked.append((n_trials, rest["space"] is SMALL_SPACE and full["maxIter"] == ("int", 50, 300)))
+        return tune(train, val, n_trials, **rest)
+
+    monkeypatch.setattr(cm, "tune", counted)
+    return asked
+
+
+def test_model_queries_share_the_best_of_20_trials(spark, searches, monkeypatch):
+    from ebbtide.plans import models
+    from ebbtide.sources.tables import Tables
+
+    stores = []
+    monkeypatch.setattr(cm, "ModelStore", lambda *a, make=cm.ModelStore: stores.append(make(*a)) or stores[-1])
+    trials = models.ml_tune(Tables(spark, "/root/testdata/sf0.001")).collect()
+    assert sorted(r.trial for r in trials) == list(range(20)) and sum(r.is_best for r in trials) == 1
+    scored = models.ml_persist_load(Tables(spark, "/root/testdata/sf0.001"))
+    assert searches == [(20, True)]  # once, and in the space of ``tune`` itself
+    (store,) = stores
+    held = store.manifest().collect()
+    assert all(r.f1_score is not None for r in held if r.alias is None) and {r.alias for r in held} == {None, "Champion", "Challenger"}
+    f1 = {r.version: r.f1_score for r in held if r.alias is None}
+    assert len(f1) == 2 and f1[2] == max(r.f1_score for r in trials)
+    assert {r.version for r in scored.collect()} == {2 if f1[2] >= f1[1] else 1}
+
+
+def test_importance_has_every_model_input(tables, searches):
     from ebbtide.plans import models
 
     inputs = {c for group in cm.split_columns_by_type(models._split(tables, "val"), cm.SKIP) for c in group}
