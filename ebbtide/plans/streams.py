@@ -53,6 +53,7 @@ def stream_profile(t):
     path = shared_dir(t.spark, "profile")
     stream = sp.windowed_profile(ss.file_stream(t.spark, t.root, "events"), "ts", "event_type", "value")
     sp.run_to_table(stream, path, shared_dir(t.spark, "profile-checkpoint"))
-    out = t.spark.read.parquet(path)
+    profile = sp.windowed_profile(t.raw("events"), "ts", "event_type", "value")
+    out = sp.with_open_windows(t.spark.read.schema(profile.schema).parquet(path), profile)
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "count",
                       F.round("avg", 6).alias("avg"), "min", "max")

@@ -29,3 +29,14 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
     if query.exception():
         raise query.exception()
+
+
+def with_open_windows(closed: DataFrame, profile: DataFrame) -> DataFrame:
+    """The windows that came out of a stream, and those it still held open, from the profile of the same table.
+
+    Windows come out in order of their ends, so the open ones end after all that came out; only their
+    events are aggregated again.
+    """
+    newest = closed.agg(F.max("window_end")).first()[0]
+    still_open = profile if newest is None else profile.filter(F.col("window_end") > F.lit(newest))
+    return closed.unionByName(still_open)

@@ -196,3 +196,13 @@ def test_importance_has_every_model_input(tables, searches):
     got = models.ml_importance(tables).collect()
     assert {r.column_name for r in got} == inputs and len(got) == len(inputs) > 5
     assert sum(r.split_importance for r in got) == pytest.approx(1)
+
+
+def test_stream_profile_has_the_open_windows(tables):
+    from ebbtide.plans import streams
+
+    got = streams.stream_profile(tables)
+    want = tables.raw("events").groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("window_start"), "event_type").agg(
+        F.count("*").alias("count"), F.round(F.avg("value"), 6).alias("avg"), F.min("value").alias("min"), F.max("value").alias("max"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert got.agg(F.sum("count")).first()[0] == tables.raw("events").count()
