@@ -24,8 +24,8 @@ def scan_by_identifier(spark: SparkSession, *parts: str) -> DataFrame:
 
 
 def scan_binary_files(spark: SparkSession, folder: str, glob: str = "*", content: bool = False) -> DataFrame:
-    """One row per file. The file bytes are read only when ``content`` is asked for."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+    """One row per file, those in folders below too. The file bytes are read only when ``content`` is asked for."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder)
     return files.select("path", "length", "content") if content else files.select("path", "length")
 
 

@@ -40,3 +40,11 @@ def test_query_equals_sql(spark, db, name):
     cur = db.execute(entry.oracle_sql()[name])
     want = rows_of([d[0] for d in cur.description], cur.fetchall())
     assert rows_of(df.columns, df.collect()) == want
+
+
+@pytest.mark.parametrize("folder", [SF, "/root/testdata/check_s"])
+def test_binary_files_are_read(spark, db, folder):
+    got = [tuple(r) for r in entry.queries()["scan_binary_files"](spark, folder).collect()]
+    want = db.execute(f"""select parse_filename(filename), size, octet_length(content), md5(content)
+ from read_blob('{folder}/**/*.parquet')""").fetchall()
+    assert sorted(got) == sorted(want) and len(got) > 0
