@@ -79,11 +79,20 @@ def frequencies(docs: DataFrame, templates: tuple[Template, ...], text: str = "t
 
 
 def rare_words(templates: tuple[Template, ...], documents_with: dict[str, int], rare: int) -> dict[str, list[tuple[int, int]]]:
-    """The index: word -> (template, place). A template that must match in full needs one word, others have ``rare``."""
+    """The index: word -> (template, place). A template that must match in full needs one word, others have ``rare``
+    of those that occur at all, and one of the key phrase, which stands wherever the template is found."""
     index: dict[str, list[tuple[int, int]]] = {}
     for number, template in enumerate(templates):
         own = sorted(set(template.words), key=lambda w: (documents_with[w], w))
-        for w in own[:1 if template.share == 1.0 else rare]:
+        if template.share == 1.0:
+            chosen = own[:1]
+        else:
+            chosen = [w for w in own if documents_with[w]][:rare]
+            first, end = template.key_range
+            key = template.words[first:end]
+            if not set(key) & set(chosen):
+                chosen.append(next(w for w in own if w in key))
+        for w in chosen:
             index.setdefault(w, []).extend((number, p) for p, x in enumerate(template.words) if x == w)
     return index
 
