@@ -286,15 +286,16 @@ def _overlaps(sets: list[np.ndarray], sizes: np.ndarray, width: int = 4096) -> n
 
 def jaccard_join(docs: DataFrame, similar: tuple[int, int] = SIMILAR, miss: float = MISS, bucket: int = BUCKET,
                  block: int = BLOCK, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text_md5, class_id, set_id, n_shingles, n_copies, n_links) for every row of ``docs``.
+    """(doc_id, text_md5, class_id, class_key, set_id, n_shingles, n_copies, n_links) for every row of ``docs``.
 
     ``n_links`` counts the other rows whose shingle set is similar (Jaccard at least ``similar``, compared
     exactly), copies included; ``n_copies`` those with the same set. ``class_id`` is the smallest doc_id
     that is reached over links. A pair at the threshold is missed with a chance of at most ``miss``, a
     more similar one with less. Texts of one to four words are one shingle; texts without words, null
     ones too, have no set and no links and are a class of their own id. Repeated rows count as copies. A
-    null doc_id is a class id only where all of the class are null. Other columns are left out. 64-bit
-    hashes stand for shingles.
+    null doc_id is a class id only where all of the class are null. Where ids repeat or are null, unrelated
+    classes can have the same id; ``class_key``, the smallest set id of the class, tells them apart and is
+    null without a set. Other columns are left out. 64-bit hashes stand for shingles.
     """
     ensure(docs.sparkSession)
     n_runs = runs(similar[0] / similar[1], miss)
@@ -322,22 +323,23 @@ def jaccard_join(docs: DataFrame, similar: tuple[int, int] = SIMILAR, miss: floa
     counts = compared.groupBy("id").agg(F.sum("linked").alias("linked"))
     parts = connected(compared.select(F.col("id").alias("a"), F.col("near").alias("b")))
     named = parts.join(sets.select("id", "first"), "id")
-    named = named.join(named.groupBy("part").agg(F.min("first").alias("class_id")), "part").select("id", "class_id")
+    named = named.join(named.groupBy("part").agg(F.min("first").alias("class_id")), "part").select("id", "class_id", "part")
     known = stored(sets.join(named, "id", "left").join(counts, "id", "left").select(
-        "id", F.coalesce("class_id", "first").alias("class_id"), "copies", F.coalesce("linked", F.lit(0)).alias("linked")), "classes")
+        "id", F.coalesce("class_id", "first").alias("class_id"), "part", "copies", F.coalesce("linked", F.lit(0)).alias("linked")), "classes")
     return rows.select("doc_id", "text_md5", "id", "n").join(known, "id", "left").select(
         "doc_id", "text_md5", F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.hex("id").alias("set_id"), F.col("n").alias("n_shingles"), F.coalesce(F.col("copies") - 1, F.lit(0)).alias("n_copies"),
+        F.hex(F.coalesce("part", "id")).alias("class_key"), F.hex("id").alias("set_id"), F.col("n").alias("n_shingles"), F.coalesce(F.col("copies") - 1, F.lit(0)).alias("n_copies"),
         F.coalesce(F.col("copies") - 1 + F.col("linked"), F.lit(0)).alias("n_links"))
 
 
 def keep_one(docs: DataFrame, joined: DataFrame) -> DataFrame:
     """One row of each class of ``jaccard_join``: that of the smallest doc_id, then of the smallest text digest.
 
-    Rows that repeat both are reduced to one.
+    A null doc_id comes after all others. Rows that repeat both are reduced to one.
     """
-    best = joined.groupBy("class_id", F.when(F.col("set_id").isNull(), F.col("text_md5")).alias("alone")).agg(
-        F.min(F.struct("doc_id", "text_md5")).alias("best"))
+    alone = F.when(F.col("set_id").isNull(), F.struct("doc_id", "text_md5")).alias("alone")
+    best = joined.groupBy("class_key", alone).agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_md5")).alias("best"))
     rows = joined.groupBy("doc_id", "text_md5").agg(F.count("*").alias("rows"))
     chosen = best.select("best.doc_id", "best.text_md5").distinct().withColumn("chosen", F.lit(True))
     both = rows["doc_id"].eqNullSafe(chosen["doc_id"]) & (rows["text_md5"] == chosen["text_md5"])

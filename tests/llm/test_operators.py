@@ -230,6 +230,21 @@ def test_automaton():
         automaton.add(words, n)
 
 
+def test_classes_without_ids_of_their_own(spark):
+    """Two texts without an id, two texts under one id, near copies of which one has no id, and texts without words."""
+    other = " ".join(f"v{i}y" for i in range(60))
+    third = " ".join(f"u{i}z" for i in range(60))
+    rows = [(None, PASSAGE), (None, other), (7, "one two three"), (7, "four five six"), (7, "four five six"),
+            (None, third), (9, third + " more"), (8, ""), (8, " "), (None, None), (None, "\n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    joined = jaccard_join(docs)
+    keys = {r["text_md5"]: r["class_key"] for r in joined.where("set_id is not null").collect()}
+    assert len(set(keys.values())) == 5 and len(keys) == 6
+    same(rows_of(keep_one(docs, joined), "doc_id", "text"), [
+        (None, PASSAGE), (None, other), (7, "one two three"), (7, "four five six"), (9, third + " more"),
+        (8, ""), (8, " "), (None, None), (None, "\n")])
+
+
 def test_license_words_missing_from_the_corpus(spark):
     """Every copy replaces the wording's three words that no document has; 17 of 20 stand in place."""
     grant = "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"
