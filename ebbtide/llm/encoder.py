@@ -12,34 +12,20 @@ from tokenizers import Tokenizer, pre_tokenizers
 from ebbtide.llm.pretokens import specials, starts
 
 BPE_50K = "byte_bpe_50k.json"
-#: Distinct pre-tokens a worker remembers before it starts anew.
-REMEMBERED = 1_500_000
+#: Bytes of remembered words beyond which a worker starts anew.
+REMEMBERED_BYTES = 64 << 20
+#: What a word costs beside its own bytes: the object, its place in the table, its number and its row.
+WORD_BYTES = 150
 
 
 def vocabulary_path(name: str = BPE_50K) -> str:
     return public_tokenizers.path(name)
 
 
-class Encoder:
-    """Byte-level BPE with remembered pre-tokens.
-
-    Merges never cross pre-tokens, so the ids of a text are those of its pre-tokens in order. Each
-    distinct pre-token goes through the library once; texts are then put together with numpy.
-    """
+class Remembered:
+    """Ids of words, kept for as long as they stay within a bound of bytes. ``tokens`` gives those of new words."""
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        with open(path, encoding="utf-8") as f:
-            added = json.load(f)["added_tokens"]
-        if len(added) > 1:
-            raise ValueError("only one special string is handled")
-        self.special = added[0]["content"].encode() if added else b""
-        self.special_id = added[0]["id"] if added else -1
-        #: The characters by which the vocabulary writes bytes; a lone pre-token shows the library's own map.
-        shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        self.shown = {b: c for c in range(256) for b, c in zip(chr(c).encode(), shown(chr(c))[0][0])}
+    def __init__(self, remembered: int = REMEMBERED_BYTES):
         self.remembered = remembered
         self._forget()
 
@@ -48,11 +34,13 @@ class Encoder:
         self.ids = np.zeros(1 << 16, np.int32)
         self.first = np.zeros(1 << 16, np.int64)
         self.count = np.zeros(1 << 16, np.int32)
-        self.used = 0
+        self.used = self.bytes_held = 0
+
+    def tokens(self, words: list[bytes]) -> list[list[int]]:
+        raise NotImplementedError
 
     def _learn(self, words: list[bytes]) -> None:
-        one = self.library.model.tokenize
-        got = [[t.id for t in one(w.decode("latin-1").translate(self.shown))] for w in words]
+        got = self.tokens(words)
         lengths = np.fromiter(map(len, got), np.int32, len(got))
         flat = np.fromiter((i for x in got for i in x), np.int32, int(lengths.sum()))
         while self.used + len(flat) > len(self.ids):
@@ -65,10 +53,12 @@ class Encoder:
         self.first[base:base + len(words)] = self.used + np.cumsum(lengths) - lengths
         self.count[base:base + len(words)] = lengths
         self.used += len(flat)
+        self.bytes_held += sum(map(len, words)) + WORD_BYTES * len(words) + 4 * len(flat)
         self.words.update(zip(words, range(base, base + len(words))))
 
-    def _numbers(self, words: list[bytes]) -> np.ndarray:
-        if len(self.words) > self.remembered:
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """The row of each word."""
+        if self.bytes_held > self.remembered:
             self._forget()
         get = self.words.get
         numbers = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
@@ -79,6 +69,45 @@ class Encoder:
             numbers[new] = [self.words[words[i]] for i in new.tolist()]
         return numbers
 
+    def gather(self, number: np.ndarray, count: np.ndarray, lone: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the words in order, place behind each); words at ``lone`` take one place and no id."""
+        stop = np.cumsum(count)
+        place = np.arange(stop[-1], dtype=np.int32) - np.repeat((stop - count - self.first[number]).astype(np.int32), count)
+        if lone is not None:
+            place[(stop - count)[lone]] = 0
+        return self.ids[place], stop
+
+
+class Encoder(Remembered):
+    """Byte-level BPE with remembered pre-tokens.
+
+    Merges never cross pre-tokens, so the ids of a text are those of its pre-tokens in order. Each
+    distinct pre-token goes through the library once; texts are then put together with numpy.
+    """
+
+    def __init__(self, path: str, remembered: int = REMEMBERED_BYTES):
+        super().__init__(remembered)
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        with open(path, encoding="utf-8") as f:
+            added = json.load(f)["added_tokens"]
+        if len(added) > 1:
+            raise ValueError("only one special string is handled")
+        self.special = added[0]["content"].encode() if added else b""
+        self.special_id = added[0]["id"] if added else -1
+        self.shown = self.shown_bytes()
+
+    @staticmethod
+    def shown_bytes() -> dict[int, str]:
+        """The characters by which the vocabulary writes bytes; a lone pre-token shows the library's own map."""
+        shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        return {b: c for c in range(256) for b, c in zip(chr(c).encode(), shown(chr(c))[0][0])}
+
+    def tokens(self, words: list[bytes]) -> list[list[int]]:
+        one = self.library.model.tokenize
+        return [[t.id for t in one(w.decode("latin-1").translate(self.shown))] for w in words]
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one behind the other, and their offsets."""
         begin, marked = starts(data, offsets, self.special)
@@ -86,19 +115,12 @@ class Encoder:
             return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
         end = np.append(begin[1:], len(data))
         which, words = distinct(data, begin, end)
-        number = self._numbers(words)[which]
-        count, first = self.count[number].astype(np.int64), self.first[number]
-        if len(marked):
-            at = np.searchsorted(begin, marked)
-            number = np.append(number, 0)
-            count[at] = 1
-        stop = np.cumsum(count)
-        place = np.arange(stop[-1], dtype=np.int32) - np.repeat((stop - count - first).astype(np.int32), count)
-        if len(marked):
-            place[(stop - count)[at]] = 0
-        ids = self.ids[place]
-        if len(marked):
-            ids[(stop - count)[at]] = self.special_id
+        number = self.numbers(words)[which]
+        count = self.count[number].astype(np.int64)
+        at = np.searchsorted(begin, marked)
+        count[at] = 1
+        ids, stop = self.gather(number, count, at)
+        ids[(stop - count)[at]] = self.special_id
         edges = np.searchsorted(begin, offsets)
         return ids, np.concatenate([[0], stop])[edges]
 

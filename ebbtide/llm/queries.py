@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ebbtide.llm.alignment import align
 from ebbtide.llm.bitpack import read_ids, write_ids
 from ebbtide.llm.decontaminate import decontaminate
 from ebbtide.llm.jaccard import jaccard_join
@@ -91,3 +92,8 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(table(spark, sf_dir, "documents").select("doc_id", "text"))

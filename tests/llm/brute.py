@@ -151,3 +151,61 @@ def archived(pages):
         out.append((page, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(),
                     "response" if page == first else "revisit", None if page == first else first))
     return out
+
+
+def aligned(docs):
+    """doc_id and the eight results, by plain loops."""
+    from sentencepiece import SentencePieceProcessor
+
+    a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    b = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    shown = {c: i for i, c in shown_bytes().items()}
+    out, links_of, held = [], [], defaultdict(int)
+    for doc, text in docs:
+        ta, tb = [], []
+        if text:
+            e = a.encode(" " + text, add_special_tokens=False)
+            ta = [(i, bytes(shown[c] for c in t)) for i, t in zip(e.ids, e.tokens)]
+            for i in b.encode(text):
+                p = b.id_to_piece(i)
+                tb.append((i, bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode()))
+            want = (" " + text).encode()
+            if b"".join(t for _, t in ta) != want or b"".join(t for _, t in tb) != want:
+                ta, tb = [], []
+        spans = []
+        for side in (ta, tb):
+            at, one = 0, []
+            for i, t in side:
+                one.append((at, at + len(t), i))
+                at += len(t)
+            spans.append(one)
+        cuts = sorted({e for _, e, _ in spans[0]} & {e for _, e, _ in spans[1]})
+        groups, start = [], 0
+        for c in cuts:
+            groups.append("|".join(",".join(str(i) for s, e, i in side if start <= s and e <= c) for side in spans))
+            start = c
+        links, j = [], 0
+        for s, e, i in spans[0]:
+            while j < len(spans[1]) and spans[1][j][1] <= s:
+                j += 1
+            k = j
+            while k < len(spans[1]) and spans[1][k][0] < e:
+                links.append((i, spans[1][k][2]))
+                k += 1
+        for pair in set(links):
+            held[pair] += 1
+        links_of.append(links)
+        out.append((doc, len(ta), len(tb), len(groups), len(links), hashlib.sha256(";".join(groups).encode()).hexdigest() if ta else ""))
+    most = defaultdict(int)
+    for (i, _), n in held.items():
+        most[i] = max(most[i], n)
+    return [(*r[:5], sum(held[p] == most[p[0]] for p in links), sum(held[p] for p in links), r[5]) for r, links in zip(out, links_of)]
+
+
+def shown_bytes():
+    from tokenizers import pre_tokenizers
+
+    shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+    few = {b: c for c in range(256) for b, c in zip(chr(c).encode(), shown(chr(c))[0][0])}
+    return {b: few.get(b, chr(b)) for b in range(256)}
