@@ -17,9 +17,11 @@ from ebbtide.llm.packing import pack_documents
 from ebbtide.llm.quality import classify
 from ebbtide.llm.runtime import table
 from ebbtide.llm.substrings import remove_repeats
+from ebbtide.llm.suffix_levels import remove_long_repeats
 from ebbtide.llm.token_counts import token_counts
 from ebbtide.llm.topk import top_k
 from ebbtide.llm.warc import read_archives, write_archives
+from ebbtide.llm.whitening import whiten
 from ebbtide.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +99,14 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_long_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))

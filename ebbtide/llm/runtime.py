@@ -8,13 +8,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ebbtide.session import shared_dir
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Bytes of text that numpy steps work on at once; a longer document is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Setting by which Spark removes the shuffle files of an execution at its end.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -63,6 +64,19 @@ def discard(df: DataFrame) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def carried(df: DataFrame, names: list[str]) -> tuple[Column, list[Column]]:
+    """(one struct of a user's columns, by number; the columns out of it again).
+
+    A frame that carries the struct has room for any names of an operator's own.
+    """
+    user = F.struct(F.lit(0).alias("n"), *(F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(names))).alias("user")
+    return user, [F.col(f"user.c{i}").alias(c) for i, c in enumerate(names)]
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts, one behind the other, and their offsets. Null counts as empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

@@ -209,3 +209,39 @@ def shown_bytes():
     shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
     few = {b: c for c in range(256) for b, c in zip(chr(c).encode(), shown(chr(c))[0][0])}
     return {b: few.get(b, chr(b)) for b in range(256)}
+
+
+def whitened(rows, components=16):
+    """{vec_id: (deviation, whitened values)}, n, explained shares, by one dense decomposition."""
+    x = {i: [math.floor(64 * c) + 1_000_000 for c in v] for i, v in rows if v and all(c is not None and math.isfinite(c) for c in v)}
+    fit = sorted({tuple(v) for v in x.values()})
+    n, sums = len(fit), [sum(c) for c in zip(*fit)]
+    centre = np.array([[(n * c - s) / n for c, s in zip(v, sums)] for v in fit])
+    values, axes = np.linalg.eigh(centre.T @ centre / n)
+    values, axes = values[::-1][:components], axes[:, ::-1][:, :components]
+    share = values / np.trace(centre.T @ centre / n)
+    out = {}
+    for i, v in x.items():
+        apart = [n * c - s for c, s in zip(v, sums)]
+        out[i] = sum(a * a for a in apart), np.array([a / n for a in apart]) @ axes / np.sqrt(np.where(values > 1e-9, values, np.nan))
+    return out, n, share
+
+
+def without_long_repeats(docs, size=100):
+    """(doc_id, bytes, removed, spans, digest), window by window."""
+    first = {}
+    raws = [(d, (t or "").encode()) for d, t in docs]
+    for d, raw in raws:
+        for i in range(len(raw) - size + 1 if d is not None else 0):
+            w = raw[i:i + size]
+            first[w] = min(first.get(w, (d, i)), (d, i))
+    out = []
+    for d, raw in raws:
+        gone = np.zeros(len(raw) + 1, bool)
+        for i in range(len(raw) - size + 1 if d is not None else 0):
+            if first[raw[i:i + size]] < (d, i):
+                gone[i:i + size] = True
+        kept = bytes(b for b, g in zip(raw, gone) if not g)
+        spans = int((gone[1:] & ~gone[:-1]).sum() + gone[0])
+        out.append((d, len(raw), len(raw) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
+    return out
