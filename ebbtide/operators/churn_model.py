@@ -70,8 +70,14 @@ def draw_params(trial: int, seed: int, space: Mapping[str, tuple]) -> dict:
     return drawn
 
 
-def _classifier(params: Mapping, seed: int) -> GBTClassifier:
-    return GBTClassifier(featuresCol="features", labelCol="label", seed=seed, **params)
+#: Bytes of stored training rows that one partition holds; a small table is one task, without overhead for each tree level.
+PARTITION_BYTES = 32 << 20
+#: Rounds after which lineage is cut and a trial's first budget.
+CUT_EVERY, FIRST_ROUNDS = 10, 8
+
+
+def _classifier(params: Mapping, seed: int, **more) -> GBTClassifier:
+    return GBTClassifier(featuresCol="features", labelCol="label", seed=seed, **{**params, **more})
 
 
 def score(model, rows: DataFrame) -> DataFrame:
@@ -86,42 +92,88 @@ class Tuning:
     trials: DataFrame
     best: dict
     preprocessing: PipelineModel
+    model: PipelineModel  # preprocessing and the classifier of the best trial
     measures: list = field(default_factory=list)
 
 
+def training_vectors(train: DataFrame, val: DataFrame, preprocessing: PipelineModel, label: str = "training-vectors") -> DataFrame:
+    """label, features, held (the row is of the validation split), stored in partitions of a bounded size."""
+    rows = preprocessing.transform(train).select("label", "features", F.lit(False).alias("held")).unionByName(
+        preprocessing.transform(val).select("label", "features", F.lit(True).alias("held")))
+    entries = rows.agg(F.sum(F.size(vector_to_array("features")))).first()[0] or 0
+    return materialize_once(rows.coalesce(max(1, -(-8 * entries // PARTITION_BYTES))), label)
+
+
+def boost(vectors: DataFrame, params: Mapping, seed: int, rounds: int | None = None):
+    """A boosted model of at most ``rounds`` rounds that stops when the held rows no longer gain.
+
+    The node of each row is kept from one tree level to the next, and lineage is cut every few rounds.
+    """
+    rounds = min(rounds or params["maxIter"], params["maxIter"])
+    return _classifier(params, seed, maxIter=rounds, validationIndicatorCol="held", validationTol=1e-5, cacheNodeIds=True,
+                       checkpointInterval=CUT_EVERY).fit(vectors)
+
+
+def _measured(models: Mapping[int, object], held: DataFrame) -> dict[int, tuple[float, float]]:
+    """F1 and log loss of each trial's model on the held rows, in one query."""
+    scored = None
+    for trial, model in models.items():
+        part = score(model, held).select(F.lit(trial).alias("trial"), "label", "prediction", "churn_probability")
+        scored = part if scored is None else scored.unionByName(part)
+    q = quality(scored, "label", "prediction", None, ["trial"]).select("trial", "f1_positive")
+    p = F.greatest(F.lit(1e-15), F.least(F.lit(1 - 1e-15), F.when(F.col("label") == 1, F.col("churn_probability")).otherwise(
+        1 - F.col("churn_probability"))))
+    loss = scored.groupBy("trial").agg(F.avg(-F.log(p)).alias("loss"))
+    return {r["trial"]: (float(r["f1_positive"]), float(r["loss"])) for r in q.join(loss, "trial").collect()}
+
+
 def tune(
     train: DataFrame, val: DataFrame, n_trials: int = 20, seed: int = 42, space: Mapping[str, tuple] = SPACE,
-    parallelism: int = 4,
+    parallelism: int = 8, first_rounds: int = FIRST_ROUNDS,
 ) -> Tuning:
-    """Seeded random search for the best F1 on the validation split.
-
-    The preprocessing is fitted on the train split and applied once; the vectors are
-    stored, and the trials, which are independent Spark jobs, share them.
+    """Seeded random search for the best F1 on the validation split, with a budget of boosting rounds.
+
+    All trials are drawn from the full space. They run in heats: each trial of a heat boosts for as many rounds as the
+    heat allows, the better half goes on, and the rounds double until they reach what the trials themselves ask for.
+    Boosting also stops when the validation rows no longer gain, so a trial uses what it needs. Every trial is logged
+    with the rounds it used, its heat and its scores there; the best is the best of the last heat. The preprocessing is
+    fitted on the train split and applied once; the vectors are stored, and the trials of a heat, which are independent
+    Spark jobs, share them.
     """
     spark = train.sparkSession
     preprocessing = Pipeline(stages=preprocess_stages(train)).fit(train)
-    fit_rows = materialize_once(preprocessing.transform(train).select("label", "features"), "tune-train")
-    val_rows = materialize_once(preprocessing.transform(val).select("label", "features"), "tune-val")
-
-    def run(trial: int) -> tuple:
-        params = draw_params(trial, seed, space)
-        model = _classifier(params, seed).fit(fit_rows)
-        m = quality(score(model, val_rows), "label", "prediction", "churn_probability").select(
-            "f1_positive", "roc_auc").first()
-        return trial, params, float(m[0]), None if m[1] is None else float(m[1])
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        done = list(pool.map(run, range(n_trials)))
-    best = max(done, key=lambda d: (d[2], -d[0]))
+    vectors = training_vectors(train, val, preprocessing)
+    held = vectors.filter("held").select("label", "features")
+    params = {t: draw_params(t, seed, space) for t in range(n_trials)}
+    alive, rounds, heat = list(params), first_rounds, 0
+    log: dict[int, tuple] = {}
+    while True:
+        last = len(alive) <= 2 or rounds >= max(params[t]["maxIter"] for t in alive)
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            models = dict(zip(alive, pool.map(lambda t: boost(vectors, params[t], seed, None if last else rounds), alive)))
+        found = _measured(models, held)
+        for t in alive:
+            log[t] = (heat, models[t].getNumTrees, *found[t])
+        alive.sort(key=lambda t: (-found[t][0], found[t][1], t))
+        if last:
+            break
+        alive, rounds, heat = alive[:-(-len(alive) // 2)], rounds * 2, heat + 1
+    best = alive[0]
+    done = [(t, params[t], *log[t]) for t in params]
+    areas = {best: quality(score(models[best], held), "label", "prediction", "churn_probability").select("roc_auc").first()[0]}
     table = spark.createDataFrame(
-        [(t, {k: str(v) for k, v in p.items()}, f1, auc, t == best[0]) for t, p, f1, auc in done],
-        "trial int, params map<string,string>, f1_score double, roc_auc double, is_best boolean")
-    return Tuning(table, best[1], preprocessing, done)
+        [(t, {k: str(v) for k, v in p.items()}, h, r, f1, loss, areas.get(t), t == best) for t, p, h, r, f1, loss in done],
+        "trial int, params map<string,string>, heat int, rounds int, f1_score double, log_loss double, roc_auc double, is_best boolean")
+    whole = PipelineModel(stages=[*preprocessing.stages, models[best]])
+    return Tuning(table, params[best], preprocessing, whole, done)
 
 
-def fit_final(train: DataFrame, params: Mapping, seed: int = 42) -> PipelineModel:
-    """Preprocessing and classifier as one pipeline, fitted on the train split."""
-    return Pipeline(stages=[*preprocess_stages(train), _classifier(params, seed)]).fit(train)
+def fit_final(train: DataFrame, params: Mapping, seed: int = 42, val: DataFrame | None = None) -> PipelineModel:
+    """Preprocessing and classifier as one pipeline, fitted on the train split; with ``val``, boosting stops by it."""
+    if val is None:
+        return Pipeline(stages=[*preprocess_stages(train), _classifier(params, seed)]).fit(train)
+    preprocessing = Pipeline(stages=preprocess_stages(train)).fit(train)
+    return PipelineModel(stages=[*preprocessing.stages, boost(training_vectors(train, val, preprocessing), params, seed)])
 
 
 class ModelStore:

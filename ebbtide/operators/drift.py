@@ -1,71 +1,111 @@
-"""How far each window of a log has moved from its baseline: six measures per column."""
+"""How far each window of a log has moved from its baseline: six measures per column.
+
+Log and baseline are scanned once, into stored counts of their values. The baseline is then read as a distribution:
+a prefix sum of its counts, once, in slices. No window carries a copy of it. The values of all windows are put into
+the baseline's order by a sort-merge of positions, and what happens between two neighbouring values of a window, where
+only the baseline rises, has a closed form: the largest gap lies at one of the ends, and the area on either side of the
+place where the baseline crosses the window's share is a difference of two integrals of the baseline. Categories that a
+window lacks count as a whole: by what is left of the baseline's totals.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from math import erfc, exp, lgamma, log, pi, sqrt
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from ebbtide.operators.ordered import exact_quantiles, ordered_prefix
+from ebbtide.functions.columns import join_by
+from ebbtide.operators.ordered import carry_at, ordered_prefix, quantiles_of
 from ebbtide.operators.profile import value_counts, window_start
 from ebbtide.sources.sinks import materialize_once
 
 FLOOR = 1e-4  # smallest share used in logarithms and expected counts
 DECILES = {f"d{i}": i / 10 for i in range(1, 10)}
-KEYS = ["window", "column_name"]
+SLICE = ["slice_key", "slice_value"]  # both null: all rows
+SIDE = [*SLICE, "column_name"]  # a distribution of the baseline
+KEYS = ["window", "model_id", *SIDE]  # one of the log
 
 
-def stacked_counts(
-    log: DataFrame, baseline: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()
-) -> DataFrame:
-    """window, column_name, number, text, nb, nw: baseline and window counts of every value.
+@dataclass
+class Compared:
+    """Stored value counts of both sides, and the baseline's numbers as a distribution."""
 
-    ``log`` has a window column. The rows are those of a full outer join, but made by one
-    union and one aggregate: a missing side counts 0 and needs no special case. The list
-    of windows is a scalar subquery with at most one entry per calendar window.
-    """
+    windows: DataFrame  # window, model_id
+    base: DataFrame  # SIDE, number, text, n
+    log: DataFrame  # KEYS, number, text, n
+    prefix: DataFrame  # SIDE, value, n, s, cum_n, cum_s, total_n, total_s: s is the sum of the values
+
+
+def sliced(rows: DataFrame, slices: Sequence[str]) -> DataFrame:
+    """Each row once for the whole table and once for each slice column, before anything is counted."""
+    none = F.lit(None).cast("string")
+    if not slices:
+        return rows.withColumns({"slice_key": none, "slice_value": none})
+    marks = [F.struct(none.alias("slice_key"), none.alias("slice_value"))]
+    marks += [F.struct(F.lit(c).alias("slice_key"), F.col(c).cast("string").alias("slice_value")) for c in slices]
+    return rows.select("*", F.explode(F.array(*marks)).alias("_slice")).select("*", "_slice.*").drop("_slice")
+
+
+def compare(
+    log: DataFrame, baseline: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), slices: Sequence[str] = (),
+    model_id: str | None = None,
+) -> Compared:
+    """``log`` has a window column. One scan of each side; the baseline's numbers are put in order once."""
     if not numeric and not categorical:
         raise ValueError("no columns to compare")
-    windows = log.select("window").distinct().agg(F.sort_array(F.collect_set("window")).alias("w")).scalar()
-    value = ["column_name", "number", "text"]
-    zero = F.lit(0).cast("bigint")
-    b = value_counts(baseline, [], numeric, categorical).select(
-        F.explode(windows).alias("window"), *value, F.col("n").alias("nb"), zero.alias("nw"))
-    w = value_counts(log, ["window"], numeric, categorical).select("window", *value, zero.alias("nb"), F.col("n").alias("nw"))
-    return b.unionByName(w).groupBy("window", *value).agg(F.sum("nb").alias("nb"), F.sum("nw").alias("nw"))
+    model = F.col(model_id) if model_id else F.lit(None)
+    rows = sliced(log.withColumn("model_id", model.cast("string")), slices)
+    counted = materialize_once(value_counts(rows, ["window", "model_id", *SLICE], numeric, categorical), "drift-log")
+    base = materialize_once(value_counts(sliced(baseline, slices), SLICE, numeric, categorical), "drift-baseline")
+    numbers = base.filter(F.col("number").isNotNull()).select(
+        *SIDE, F.col("number").alias("value"), "n", (F.col("number") * F.col("n")).alias("s"))
+    prefix = materialize_once(ordered_prefix(numbers, SIDE, "value", ["n", "s"], rows=base.count()), "drift-prefix")
+    windows = log.select("window", model.cast("string").alias("model_id")).distinct()
+    return Compared(windows, base, counted, prefix)
 
 
-def numbers_of(stacked: DataFrame) -> DataFrame:
-    return stacked.filter(F.col("number").isNotNull()).select(*KEYS, F.col("number").alias("value"), "nb", "nw")
+def numbers_of(counts: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    return counts.filter(F.col("number").isNotNull()).select(*keys, F.col("number").alias("value"), "n")
 
 
-def decile_edges(stacked: DataFrame) -> DataFrame:
-    """(column_name, edges): the nine inner deciles of the baseline, rounded so that two engines agree.
+def decile_edges(compared: Compared) -> DataFrame:
+    """(SIDE, edges): the nine inner deciles of the baseline, rounded so that two engines agree."""
+    q = quantiles_of(compared.prefix, SIDE, "value", "n", DECILES)
+    return q.select(*SIDE, F.array(*[F.round(d, 6) for d in DECILES]).alias("edges"))
 
-    Every window carries the whole baseline, so one window is enough.
-    """
-    first = stacked.agg(F.min("window").alias("w")).scalar()
-    base = numbers_of(stacked).filter((F.col("window") == first) & (F.col("nb") > 0))
-    q = exact_quantiles(base, ["column_name"], "value", "nb", DECILES)
-    return q.select("column_name", F.array(*[F.round(d, 6) for d in DECILES]).alias("edges"))
-
-
-def bin_counts(stacked: DataFrame) -> DataFrame:
-    """window, column_name, kind, bin, nb, nw: decile bins of numbers, the values of texts."""
-    # One edge row per column name: the bound is the width of the schema.
-    binned = numbers_of(stacked).join(F.broadcast(decile_edges(stacked)), "column_name", "left").select(
-        *KEYS, F.lit("numeric").alias("kind"),
-        F.size(F.filter("edges", lambda e: F.col("value") > e)).cast("string").alias("bin"), "nb", "nw")
-    numbers = binned.groupBy(*KEYS, "kind", "bin").agg(F.sum("nb").alias("nb"), F.sum("nw").alias("nw"))
-    texts = stacked.filter(F.col("text").isNotNull()).select(
-        *KEYS, F.lit("categorical").alias("kind"), F.col("text").alias("bin"), "nb", "nw")
+
+def bins(counts: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """keys, kind, bin, n: decile bins of numbers, the values of texts."""
+    placed = join_by(numbers_of(counts, keys), edges, SIDE, "left").select(
+        *keys, F.lit("numeric").alias("kind"), F.size(F.filter("edges", lambda e: F.col("value") > e)).cast("string").alias("bin"), "n")
+    numbers = placed.groupBy(*keys, "kind", "bin").agg(F.sum("n").alias("n"))
+    texts = counts.filter(F.col("text").isNotNull()).select(*keys, F.lit("categorical").alias("kind"), F.col("text").alias("bin"), "n")
     return numbers.unionByName(texts)
 
 
+def both_bins(compared: Compared) -> tuple[DataFrame, DataFrame]:
+    """(bins of the baseline with nb, bins of the log with nw)."""
+    edges = decile_edges(compared)
+    return (bins(compared.base, edges, SIDE).withColumnRenamed("n", "nb"),
+            bins(compared.log, edges, KEYS).withColumnRenamed("n", "nw"))
+
+
+def joined_bins(compared: Compared) -> DataFrame:
+    """KEYS, kind, bin, nb, nw of every bin that either side has: the table of both, for reading."""
+    base, log = both_bins(compared)
+    zero = F.lit(0).cast("bigint")
+    # The result itself has a row for each window and bin of the baseline.
+    listed = compared.windows.agg(F.collect_set(F.struct(F.col("window"), F.col("model_id"))).alias("w")).scalar()
+    spread = base.select(F.explode(listed).alias("_w"), "*").select("_w.*", *SIDE, "kind", "bin", "nb", zero.alias("nw"))
+    both = spread.unionByName(log.withColumn("nb", zero))
+    return both.groupBy(*KEYS, "kind", "bin").agg(F.sum("nb").alias("nb"), F.sum("nw").alias("nw"))
+
+
 def ks_pvalue(statistic: Column, n: Column, m: Column) -> Column:
     """Asymptotic two-sample p-value; 1 where the series does not converge."""
     lam = F.sqrt(n * m / (n + m)) * statistic
@@ -95,53 +135,123 @@ def chi2_pvalue(statistic: pd.Series, df: pd.Series) -> pd.Series:
                       for x, d in zip(statistic, df)], dtype="float64")
 
 
-def numeric_distances(values: DataFrame) -> DataFrame:
-    """KS statistic with p-value, and Wasserstein distance, from one pass over both CDFs."""
-    cdf = ordered_prefix(values, KEYS, "value", ["nb", "nw"])
-    gap = F.abs(F.col("cum_nb") / F.nullif(F.col("total_nb"), F.lit(0))
-                - F.col("cum_nw") / F.nullif(F.col("total_nw"), F.lit(0)))
+def numeric_distances(compared: Compared) -> DataFrame:
+    """KS statistic with p-value, and Wasserstein distance, from both CDFs.
+
+    Between two neighbouring values of a window its CDF is a constant c, while the baseline's rises. Its largest
+    distance from c is at one of the ends. The area between them is that below c up to the place where the baseline
+    reaches c, which is a rank of the baseline, and that above c from there on.
+    """
+    rows = compared.prefix.count() + compared.log.count()
+    marks = compared.prefix.select(*SIDE, "value", "n", "cum_n", "cum_s")
+    seen = carry_at(marks, numbers_of(compared.log), SIDE, "value", "b", rows)
+    # Baseline values up to v, their sum, and those below v.
+    cn, cs = F.coalesce("b.cum_n", F.lit(0)), F.coalesce("b.cum_s", F.lit(0.0))
+    below = F.when(F.col("b.value") == F.col("value"), cn - F.col("b.n")).otherwise(cn)
+    seen = seen.select(*KEYS, "value", "n", cn.alias("cn"), cs.alias("cs"), below.alias("below"))
+    cdf = ordered_prefix(seen, KEYS, "value", ["n"], carry=("cn", "cs", "below"), ahead=("cn", "cs"), rows=rows)
+    totals = compared.prefix.groupBy(*SIDE).agg(
+        F.max("total_n").alias("base_n"), F.max("total_s").alias("base_s"), F.max("value").alias("base_max"))
+    cdf = join_by(cdf, totals, SIDE, "left")
+    # The rank at which the baseline reaches the window's share, and the value there.
+    reach = F.ceil(F.col("cum_n").cast("decimal(19,0)") * F.col("base_n").cast("decimal(19,0)") / F.col("total_n").cast("decimal(19,0)"))
+    cdf = cdf.withColumn("rank", (reach - 1).cast("bigint"))
+    ranks = compared.prefix.select(*SIDE, (F.col("cum_n") - F.col("n")).alias("rank"), F.col("value").alias("at"), "cum_n", "cum_s")
+    cdf = carry_at(ranks, cdf.filter(F.col("rank").isNotNull()), SIDE, "rank", "x", rows).unionByName(
+        cdf.filter(F.col("rank").isNull()), allowMissingColumns=True)
+    n, v, next_v, share = F.col("base_n"), F.col("value"), F.col("next_value"), F.col("cum_n") / F.col("total_n")
+
+    def integral(at: Column, count: Column, total: Column) -> Column:
+        """Of the baseline's CDF up to a place, from the values up to there and their sum."""
+        return (at * count - total) / n
+
+    here, there = integral(v, F.col("cn"), F.col("cs")), integral(next_v, F.col("next_cn"), F.col("next_cs"))
+    place = F.col("x.at")
+    cross = F.when(place <= v, v).when(place >= next_v, next_v).otherwise(place)
+    at_cross = F.when(place <= v, here).when(place >= next_v, there).otherwise(integral(place, F.col("x.cum_n"), F.col("x.cum_s")))
+    between = share * (cross - v) - (at_cross - here) + (there - at_cross) - share * (next_v - cross)
+    end = F.col("base_max")
+    behind = F.when(end > v, (end - v) - (integral(end, n, F.col("base_s")) - here)).otherwise(F.lit(0.0))
+    area = F.when(next_v.isNotNull(), between).otherwise(behind) + F.when(F.col("cum_n") == F.col("n"), here).otherwise(F.lit(0.0))
+    gap = F.greatest(F.abs(F.col("cn") / n - share), F.abs(F.col("below") / n - (F.col("cum_n") - F.col("n")) / F.col("total_n")))
+    known = n.isNotNull()
     out = cdf.groupBy(*KEYS).agg(
-        F.max(gap).alias("ks"),
-        F.sum(gap * (F.coalesce("next_value", "value") - F.col("value"))).alias("wasserstein_distance"),
-        F.max("total_nb").cast("double").alias("_n"), F.max("total_nw").cast("double").alias("_m"),
-    )
+        F.max(F.when(known, gap)).alias("ks"), F.sum(F.when(known, F.greatest(area, F.lit(0.0)))).alias("wasserstein_distance"),
+        F.max("base_n").cast("double").alias("_n"), F.max("total_n").cast("double").alias("_m"))
     test = F.struct(F.col("ks").alias("statistic"), ks_pvalue(F.col("ks"), F.col("_n"), F.col("_m")).alias("pvalue"))
     return out.select(*KEYS, F.when(F.col("ks").isNotNull(), test).alias("ks_test"), "wasserstein_distance")
 
 
-def bin_shares(bins: DataFrame) -> DataFrame:
-    """Add the shares p (window) and q (baseline) and both totals.
+def _kl(a: Column, mid: Column) -> Column:
+    return F.when(a > 0, a * F.log(a / mid)).otherwise(F.when(a.isNotNull(), F.lit(0.0)))
 
-    One total row per window and column, so the totals travel as a broadcast instead of
-    a window that would gather a many-valued column in one task.
-    """
-    totals = bins.groupBy(*KEYS).agg(F.sum("nb").alias("total_b"), F.sum("nw").alias("total_w"))
-    return bins.join(F.broadcast(totals), KEYS).withColumns({
-        "p": F.col("nw") / F.nullif(F.col("total_w"), F.lit(0)),
-        "q": F.col("nb") / F.nullif(F.col("total_b"), F.lit(0)),
-    })
 
+def _absent_psi(q: Column) -> Column:
+    """What a bin of the baseline adds where the window has nothing in it."""
+    qf = F.greatest(q, F.lit(FLOOR))
+    return (F.lit(FLOOR) - qf) * F.log(F.lit(FLOOR) / qf)
 
-def distribution_distances(bins: DataFrame) -> DataFrame:
-    """PSI, Jensen-Shannon, total variation and chi-squared from binned shares."""
-    p, q = F.col("p"), F.col("q")
-    pf, qf = F.greatest(p, F.lit(FLOOR)), F.greatest(q, F.lit(FLOOR))
-    mid = (p + q) / 2
 
-    def kl(a: Column) -> Column:
-        return F.when(a > 0, a * F.log(a / mid)).otherwise(F.when(a.isNotNull(), F.lit(0.0)))
+def largest_absent(base: DataFrame, met: DataFrame) -> DataFrame:
+    """KEYS, kind, absent: rows in the largest bin of the baseline that a window lacks.
 
+    Bins of equal size are counted together, so a window is compared with a list of sizes: it lacks the largest size
+    of which it has fewer bins than there are, or the first, from the largest down, of which it has none.
+    """
+    sizes = base.groupBy(*SIDE, "kind", "nb").agg(F.count("*").alias("there"))
+    sizes = sizes.withColumn("place", F.row_number().over(Window.partitionBy(*SIDE, "kind").orderBy(F.desc("nb"))))
+    have = met.filter(F.col("nb").isNotNull()).groupBy(*KEYS, "kind", "nb").agg(F.count("*").alias("here"))
+    have = join_by(have, sizes, [*SIDE, "kind", "nb"])
+    order = Window.partitionBy(*KEYS, "kind").orderBy("place")
+    have = have.withColumn("run", F.row_number().over(order))
+    # Places 1, 2, ... without a gap are those whose number is their order.
+    out = have.groupBy(*KEYS, "kind").agg(
+        F.max(F.when(F.col("here") < F.col("there"), F.col("nb"))).alias("partly"),
+        (F.coalesce(F.max(F.when(F.col("run") == F.col("place"), F.col("place"))), F.lit(0)) + 1).alias("place"))
+    none = sizes.select(*SIDE, "kind", "place", F.col("nb").alias("wholly"))
+    return join_by(out, none, [*SIDE, "kind", "place"], "left").select(*KEYS, "kind", F.greatest("partly", "wholly").alias("absent"))
+
+
+def distribution_distances(compared: Compared) -> DataFrame:
+    """PSI, Jensen-Shannon, total variation and chi-squared from binned shares.
+
+    Each sum runs over the bins a window has; the others are what is left of the baseline's totals.
+    """
+    base, seen = (materialize_once(x, "drift-bins") for x in both_bins(compared))
+    of_base = base.groupBy(*SIDE, "kind").agg(F.sum("nb").alias("total_b"), F.count("*").alias("bins_b"))
+    share = join_by(base, of_base, [*SIDE, "kind"]).withColumn("q", F.col("nb") / F.col("total_b"))
+    of_base = share.groupBy(*SIDE, "kind").agg(
+        F.max("total_b").alias("total_b"), F.max("bins_b").alias("bins_b"), F.sum(_absent_psi(F.col("q"))).alias("psi_b"))
+    of_log = seen.groupBy(*KEYS, "kind").agg(F.sum("nw").alias("total_w"))
+    met = join_by(seen, base, [*SIDE, "kind", "bin"], "left")
+    lacks = largest_absent(base, met)
+    rows = join_by(join_by(met, of_log, [*KEYS, "kind"]), of_base, [*SIDE, "kind"], "left")
+    nb = F.when(F.col("total_b").isNotNull(), F.coalesce("nb", F.lit(0)))
+    p, q = F.col("nw") / F.col("total_w"), nb / F.col("total_b")
+    pf, qf = F.greatest(p, F.lit(FLOOR)), F.greatest(q, F.lit(FLOOR))
+    mid = (p + q) / 2
     expected = F.when(q > 0, q).otherwise(F.lit(FLOOR)) * F.col("total_w")
-    chi = F.when((F.col("kind") == "categorical") & (F.col("total_w") > 0) & (F.col("total_b") > 0),
-                 (F.col("nw") - expected) * (F.col("nw") - expected) / expected)
-    out = bin_shares(bins).groupBy(*KEYS, "kind").agg(
-        F.sum((pf - qf) * F.log(pf / qf)).alias("population_stability_index"),
-        F.sqrt(F.greatest(F.lit(0.0), F.sum(kl(p) * 0.5 + kl(q) * 0.5))).alias("js_distance"),
-        (F.sum(F.abs(p - q)) / 2).alias("tv_distance"),
-        F.max(F.abs(p - q)).alias("max_bin_diff"),
-        F.sum(chi).alias("chi2"),
-        (F.count("*") - 1).alias("degrees"),
-    )
+    part = rows.groupBy(*KEYS, "kind").agg(
+        F.sum((pf - qf) * F.log(pf / qf)).alias("psi"), F.sum(F.when(F.col("nb").isNotNull(), _absent_psi(q))).alias("psi_met"),
+        F.sum(_kl(p, mid) * 0.5 + _kl(q, mid) * 0.5).alias("js"), F.sum(F.abs(p - q)).alias("tv"), F.max(F.abs(p - q)).alias("most"),
+        F.sum((F.col("nw") - expected) * (F.col("nw") - expected) / expected).alias("chi"), F.sum("nb").alias("met_b"),
+        F.count("nb").alias("met_bins"), F.count("*").alias("bins_w"), F.max("total_w").alias("total_w"))
+    # Every window meets every column of the baseline, also one it has no values of.
+    listed = compared.windows.agg(F.collect_set(F.struct(F.col("window"), F.col("model_id"))).alias("w")).scalar()
+    pairs = of_base.select(F.explode(listed).alias("_w"), *SIDE, "kind").select("_w.*", *SIDE, "kind")
+    pairs = pairs.unionByName(part.select(*KEYS, "kind")).distinct()
+    whole = join_by(join_by(join_by(pairs, part, [*KEYS, "kind"], "left"), of_base, [*SIDE, "kind"], "left"), lacks, [*KEYS, "kind"], "left")
+    met_b, met_bins = F.coalesce("met_b", F.lit(0)), F.coalesce("met_bins", F.lit(0))
+    left_bins, left = F.coalesce("bins_b", F.lit(0)) - met_bins, (F.col("total_b") - met_b) / F.col("total_b")
+    both = F.col("total_b").isNotNull() & F.col("total_w").isNotNull()
+    psi = F.coalesce("psi", F.lit(0.0)) + F.when(left_bins > 0, F.coalesce("psi_b", F.lit(0.0)) - F.coalesce("psi_met", F.lit(0.0))).otherwise(F.lit(0.0))
+    out = whole.select(
+        *KEYS, "kind", psi.alias("population_stability_index"),
+        F.when(both, F.sqrt(F.greatest(F.lit(0.0), F.col("js") + left * (0.5 * log(2))))).alias("js_distance"),
+        F.when(both, (F.col("tv") + left) / 2).alias("tv_distance"),
+        F.when(both, F.greatest(F.col("most"), F.when(left_bins > 0, F.col("absent") / F.col("total_b")))).alias("max_bin_diff"),
+        F.when(both & (F.col("kind") == "categorical"), F.col("chi") + left * F.col("total_w")).alias("chi2"),
+        (F.coalesce("bins_b", F.lit(0)) + F.coalesce("bins_w", F.lit(0)) - met_bins - 1).alias("degrees"))
     test = F.struct(F.col("chi2").alias("statistic"), chi2_pvalue("chi2", "degrees").alias("pvalue"))
     return out.withColumn("chi_squared_test", F.when(F.col("chi2").isNotNull(), test)).drop("kind", "chi2")
 
@@ -153,17 +263,19 @@ def drift(
     numeric: Sequence[str],
     categorical: Sequence[str] = (),
     granularity: str = "month",
+    slices: Sequence[str] = (),
+    model_id: str | None = None,
 ) -> DataFrame:
-    """All measures, one row per window and column.
+    """All measures, one row per window, model, slice and column.
 
-    Log and baseline are scanned once, into stored value counts that all measures read.
+    ``slices`` are columns of both sides; each of their values is compared with the same value of the baseline, and a
+    value that the baseline lacks has no measures. Without ``model_id`` all rows are those of one model.
     """
-    windowed = log.withColumn("window", window_start(timestamp, granularity))
-    stacked = materialize_once(stacked_counts(windowed, baseline, numeric, categorical), "drift-counts")
-    out = distribution_distances(bin_counts(stacked)).join(numeric_distances(numbers_of(stacked)), KEYS, "left")
+    compared = compare(log.withColumn("window", window_start(timestamp, granularity)), baseline, numeric, categorical, slices, model_id)
+    out = join_by(distribution_distances(compared), numeric_distances(compared), KEYS, "left")
     return out.select(
-        *KEYS, "ks_test", "chi_squared_test", "wasserstein_distance", "population_stability_index",
-        "js_distance", "tv_distance", "max_bin_diff", "degrees")
+        "window", "column_name", "ks_test", "chi_squared_test", "wasserstein_distance", "population_stability_index",
+        "js_distance", "tv_distance", "max_bin_diff", "degrees", *SLICE, "model_id", F.lit(f"1 {granularity}").alias("granularity"))
 
 
 def _psi() -> Column:

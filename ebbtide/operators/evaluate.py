@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.operators.retrieve import words
+from ebbtide.operators.search import words
 
 # Patterns that make a response unsafe: mail address, long digit run, network address.
 UNSAFE = r"[A-Za-z0-9._]+@[A-Za-z0-9.]+|\d{12,}|\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"

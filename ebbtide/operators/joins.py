@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.functions.hashing import uniform
-from ebbtide.operators.ordered import CELLS, carry_forward, ordered_prefix
+from ebbtide.operators.ordered import carry_at, ordered_prefix
 from ebbtide.sources.sinks import materialize_once
 
 
@@ -17,14 +17,14 @@ def membership_flag(rows: DataFrame, members: DataFrame, key: str, name: str) ->
 
 
 def weighted_draw(
-    draws: DataFrame, draw_key: str, pool: DataFrame, pool_key: str, weight: Column, seed: str, cells: int = CELLS
+    draws: DataFrame, draw_key: str, pool: DataFrame, pool_key: str, weight: Column, seed: str, cells: int | None = None
 ) -> DataFrame:
     """For every draw, a pool key with probability in proportion to its integer weight.
 
     The pool gets integer intervals by a running total in key order, the draws an integer
     position from their hash uniform, and each draw takes the interval it falls into. The
-    lookup sorts both sides together slice by slice, so its cost does not depend on how
-    the weights are spread. A zero weight is never drawn. Weights and intervals are read
+    lookup sorts both sides together slice by slice, with slices cut where the draws lie, so
+    its cost does not depend on how the weights are spread. A zero weight is never drawn. Weights and intervals are read
     several times and therefore stored once.
     """
     # Text keys are ordered by their hash; the order only has to be the same for all readers.
@@ -36,9 +36,10 @@ def weighted_draw(
         ordered_prefix(weighted, [], "_place", ["_w"], cells, (pool_key,)).select(
             pool_key, (F.col("cum__w") - F.col("_w")).alias("_at")), "starts")
     total = weighted.agg(F.sum("_w").alias("total")).scalar()
-    probes = draws.withColumn(
-        "_at", F.least(F.floor(uniform(draw_key, seed) * total).cast("bigint"), total - F.lit(1)))
-    return carry_forward(starts, probes, "_at", pool_key, total).drop("_at")
+    probes = draws.withColumns({
+        "_at": F.least(F.floor(uniform(draw_key, seed) * total).cast("bigint"), total - F.lit(1)), "_one": F.lit(0)})
+    found = carry_at(starts.withColumn("_one", F.lit(0)), probes, ["_one"], "_at", "_hit", cells=cells)
+    return found.select(*draws.columns, F.col(f"_hit.{pool_key}").alias(pool_key))
 
 
 def compare_versions(a: DataFrame, b: DataFrame, key: list[str], value: str) -> DataFrame:

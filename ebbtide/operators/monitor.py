@@ -107,21 +107,21 @@ def profile(log: DataFrame, config: MonitorConfig = MonitorConfig(), log_type: s
     for slice_key in (None, *config.slices):
         rows = windowed.withColumn(
             "slice_value", F.lit(None).cast("string") if slice_key is None else F.col(slice_key).cast("string"))
-        part = _profile_slice(rows, config, numeric, categorical, slice_key is None).withColumn(
+        part = _profile_slice(rows, config, numeric, categorical).withColumn(
             "slice_key", F.lit(slice_key).cast("string"))
         out = part if out is None else out.unionByName(part)
     return out.withColumns({"log_type": F.lit(log_type), "granularity": F.lit(f"1 {config.granularity}")})
 
 
 def _profile_slice(
-    rows: DataFrame, config: MonitorConfig, numeric: list[str], categorical: list[str], few_groups: bool
+    rows: DataFrame, config: MonitorConfig, numeric: list[str], categorical: list[str]
 ) -> DataFrame:
     by = ["_group"]
     names = ["window", config.model_id, "slice_value"]
     # Null-safe grouping: window and slice are null in some rows, so the group is one text key.
     keyed = rows.withColumn("_group", F.to_json(F.struct(*names)))
     groups = keyed.groupBy("_group").agg(*[F.max(n).alias(n) for n in names], F.count("*").alias("_rows"))
-    columns = column_profile(keyed, by, numeric, categorical, few_groups)
+    columns = column_profile(keyed, by, numeric, categorical)
     table = groups.select("_group", F.lit(TABLE).alias("column_name"), F.col("_rows").alias("count"))
     values = {"prediction_col": config.prediction, "label_col": config.label or "", "timestamp_col": config.timestamp,
               "model_id_col": config.model_id}
@@ -129,7 +129,7 @@ def _profile_slice(
     if extra is not None:
         table = table.join(extra, "_group", "left")
     if config.label:
-        q = quality(keyed, config.label, config.prediction, config.probability, by, few_groups).withColumn(
+        q = quality(keyed, config.label, config.prediction, config.probability, by).withColumn(
             "column_name", F.lit(config.prediction))
         columns = columns.join(q, [*by, "column_name"], "left")
     return columns.unionByName(table, allowMissingColumns=True).join(
@@ -145,5 +145,5 @@ def monitor_refresh(
     classes = [c for c in (config.prediction, config.label) if c in numeric]
     metrics = profile(log, config).unionByName(profile(baseline, config, "BASELINE"))
     moved = drift(log, baseline, config.timestamp, [c for c in numeric if c not in classes],
-                  [*categorical, *classes], config.granularity)
+                  [*categorical, *classes], config.granularity, config.slices, config.model_id)
     return metrics, moved

@@ -70,7 +70,6 @@ def _wide_statistics(df: DataFrame, by: Sequence[str], numeric: Sequence[str], c
 
 def column_profile(
     df: DataFrame, by: Sequence[str], numeric: Sequence[str], categorical: Sequence[str] = (),
-    few_groups: bool = True,
 ) -> DataFrame:
     """by, column_name, count, percent_nulls, percent_zeros, avg, stddev, min, max,
     distinct_count and exact quartiles, one row per group and column.
@@ -86,7 +85,7 @@ def column_profile(
     if not numeric:
         return out.withColumns({q: F.lit(None).cast("double") for q in QUANTILES})
     numbers = counts.filter(F.col("number").isNotNull())
-    return join_by(out, exact_quantiles(numbers, keys, "number", "n", QUANTILES, few_groups=few_groups), keys, "left")
+    return join_by(out, exact_quantiles(numbers, keys, "number", "n", QUANTILES), keys, "left")
 
 
 def fill_placeholders(template: str, values: Mapping[str, str]) -> str:

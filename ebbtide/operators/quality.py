@@ -30,7 +30,6 @@ def _ratio(a: Column, b: Column) -> Column:
 
 def quality(
     df: DataFrame, label: str, prediction: str, probability: str | None = None, by: Sequence[str] = (),
-    few_groups: bool = True,
 ) -> DataFrame:
     """Accuracy, precision, recall, F1 (positive class, macro, weighted), log loss and ROC area.
 
@@ -65,7 +64,7 @@ def quality(
         *(["log_loss"] if probability else []),
     )
     if probability:
-        auc = roc_auc(rows, label, probability, by, few_groups)
+        auc = roc_auc(rows, label, probability, by)
         if by:
             out = join_by(out, auc, by, "left")
         else:
@@ -73,21 +72,21 @@ def quality(
     return out
 
 
-def _score_counts(df: DataFrame, label: str, score: str, by: list[str], few_groups: bool = True) -> DataFrame:
+def _score_counts(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
     counts = df.filter(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(
         *by, F.col(score).cast("double").alias("score")).agg(
         F.count(F.when(F.col(label) == 1, 1)).alias("pos"), F.count(F.when(F.col(label) != 1, 1)).alias("neg"))
-    return ordered_prefix(counts, by, "score", ["pos", "neg"], few_groups=few_groups)
+    return ordered_prefix(counts, by, "score", ["pos", "neg"])
 
 
 def roc_auc(
-    df: DataFrame, label: str, score: str, by: Sequence[str] = (), few_groups: bool = True
+    df: DataFrame, label: str, score: str, by: Sequence[str] = ()
 ) -> DataFrame:
     """Chance that a positive outscores a negative, ties counting half; null with one class only."""
     by = list(by)
     wins = F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") * F.lit(0.5)))
     pairs = F.max("total_pos").cast("double") * F.max("total_neg")
-    return _score_counts(df, label, score, by, few_groups).groupBy(*by).agg(F.when(pairs > 0, wins / pairs).alias("roc_auc"))
+    return _score_counts(df, label, score, by).groupBy(*by).agg(F.when(pairs > 0, wins / pairs).alias("roc_auc"))
 
 
 def roc_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:

@@ -1,18 +1,20 @@
-"""Exact nearest-neighbour search of vectors, and tf-idf search of texts."""
+"""Nearest-neighbour search of vectors, exact and through locality-sensitive buckets."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-MAX_LOCAL_QUERIES = 1024  # query vectors that may travel to every task
-QUERY_BLOCK = 1024
-ITEM_CHUNK = 50_000
+from ebbtide.session import shared_dir
+from ebbtide.sources.sinks import materialize_once
+
+QUERY_BLOCK = 4096  # query vectors that travel to every task at once
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
@@ -45,100 +47,144 @@ def _rank(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def _vectors(df: DataFrame, key: str, vector: str, name: str) -> DataFrame:
+    return df.select(F.col(key).cast("bigint").alias(name), F.col(vector).cast("array<double>").alias("vector")).filter(
+        F.col("vector").isNotNull())
+
+
 def vector_topk(
     queries: DataFrame, items: DataFrame, k: int = 3, metric: str = "cosine",
-    query_id: str = "query_id", item_id: str = "item_id", vector: str = "vector",
-    max_local_queries: int = MAX_LOCAL_QUERIES,
+    query_id: str = "query_id", item_id: str = "item_id", vector: str = "vector", block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """query_id, rank, score, item_id: the k items with the highest cosine or dot product.
 
-    A batch of queries up to ``max_local_queries`` goes to every task, which scores its
-    own items by matrix product and returns k rows per query: the items are never
-    shuffled and no pair table exists. A larger query side is spread over a grid of
-    query blocks and item chunks of bounded size instead.
+    Queries go out in blocks of a bounded size. For each block the items are scanned once: every task scores its own
+    items by matrix product and returns k rows per query, so items are never shuffled and no pair table exists. The
+    blocks' results are stored one by one.
     """
     if metric not in ("cosine", "dot"):
         raise ValueError(f"unknown metric {metric}")
     cosine = metric == "cosine"
-    q = queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.col(vector).alias("vector"))
-    i = items.select(F.col(item_id).cast("bigint").alias("item_id"), F.col(vector).alias("vector")).filter(
-        F.col("vector").isNotNull())
+    q, i = _vectors(queries, query_id, vector, "query_id"), _vectors(items, item_id, vector, "item_id")
     schema = StructType([StructField("query_id", LongType()), StructField("item_id", LongType()),
                          StructField("score", DoubleType())])
-    local = q.limit(max_local_queries + 1).collect()
-    if len(local) <= max_local_queries:
-        ids = np.array([r[0] for r in local], dtype="int64")
-        matrix = np.array([r[1] for r in local], dtype="float64") if local else np.zeros((0, 0))
-        matrix = _unit(matrix) if cosine and len(local) else matrix
-
-        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            kept_scores, kept_ids = np.zeros((len(ids), 0)), np.zeros((len(ids), 0), dtype="int64")
+    asked = materialize_once(q, "vector-queries")
+    n_blocks = max(1, -(-asked.count() // block))
+    # Blocks are cut at ids, so rows of one id stay together; a block is as large as the ids allow.
+    edges = [] if n_blocks == 1 else asked.agg(
+        F.percentile_approx("query_id", [j / n_blocks for j in range(1, n_blocks)], 10 * n_blocks)).first()[0]
+    path = shared_dir(q.sparkSession, "vector-found")
+    low = None
+    for high in [*sorted(set(edges)), None]:
+        part = asked if low is None else asked.filter(F.col("query_id") > low)
+        part = part if high is None else part.filter(F.col("query_id") <= high)
+        found = _scan(part.collect(), i, k, cosine, schema)
+        _rank(found, k).write.mode("append").parquet(path)
+        low = high
+    return q.sparkSession.read.parquet(path)
+
+
+def _scan(asked: list, items: DataFrame, k: int, cosine: bool, schema: StructType) -> DataFrame:
+    ids = np.array([r[0] for r in asked], dtype="int64")
+    matrix = np.array([r[1] for r in asked], dtype="float64") if asked else np.zeros((0, 0))
+    matrix = _unit(matrix) if cosine and len(asked) else matrix
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept_scores, kept_ids = np.zeros((len(ids), 0)), np.zeros((len(ids), 0), dtype="int64")
+        for batch in batches:
+            if len(batch) and len(ids):
+                scores, found = _best(*_scored(matrix, _matrix(batch["vector"]), batch["item_id"].to_numpy(), cosine), k)
+                kept_scores, kept_ids = _best(
+                    np.hstack([kept_scores, scores]), np.hstack([kept_ids, found]), k)
+        if kept_ids.size:
+            yield _found(ids, kept_scores, kept_ids)
+
+    return items.mapInPandas(scan, schema)
+
+
+#: Largest number of planes of one table, and of tables.
+MOST_BITS, MOST_TABLES = 24, 256
+
+
+@dataclass
+class Buckets:
+    """Random planes by table: vectors on the same side of all planes of a table share its bucket."""
+
+    planes: np.ndarray  # table, plane, entry
+
+    @classmethod
+    def draw(cls, tables: int, bits: int, size: int, seed: int = 0) -> Buckets:
+        return cls(np.random.default_rng(seed).standard_normal((tables, bits, size)))
+
+    def of(self, vectors: np.ndarray) -> np.ndarray:
+        """The bucket of each vector (row) in each table (column)."""
+        tables, bits, size = self.planes.shape
+        sides = (vectors @ self.planes.reshape(-1, size).T > 0).reshape(len(vectors), tables, bits)
+        return sides @ (np.int64(1) << np.arange(bits, dtype=np.int64))
+
+    def place(self, df: DataFrame, name: str) -> DataFrame:
+        """name, table, bucket of every vector."""
+        n = self.planes.shape[0]
+
+        def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                if len(batch) and len(ids):
-                    scores, found = _best(*_scored(matrix, _matrix(batch["vector"]), batch["item_id"].to_numpy(), cosine), k)
-                    kept_scores, kept_ids = _best(
-                        np.hstack([kept_scores, scores]), np.hstack([kept_ids, found]), k)
-            if kept_ids.size:
-                yield _found(ids, kept_scores, kept_ids)
-
-        return _rank(i.mapInPandas(scan, schema), k)
-
-    blocks = q.agg(F.ceil(F.count("*") / F.lit(float(QUERY_BLOCK))).cast("int").alias("n")).scalar()
-    chunks = i.agg(F.greatest(F.ceil(F.count("*") / F.lit(float(ITEM_CHUNK))).cast("int"), F.lit(1)).alias("n")).scalar()
-    spread_q = q.withColumns({
-        "_b": F.pmod(F.xxhash64("query_id"), blocks).cast("int"),
-        "_c": F.explode(F.sequence(F.lit(0), chunks - 1))})
-    spread_i = i.withColumns({
-        "_c": F.pmod(F.xxhash64("item_id"), chunks).cast("int"),
-        "_b": F.explode(F.sequence(F.lit(0), blocks - 1))})
-
-    def grid(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "item_id": [], "score": []}).astype(
-                {"query_id": "int64", "item_id": "int64", "score": "float64"})
-        block = _matrix(left["vector"])
-        scores, found = _best(*_scored(_unit(block) if cosine else block, _matrix(right["vector"]),
-                                       right["item_id"].to_numpy(), cosine), k)
-        return _found(left["query_id"].to_numpy(), scores, found)
-
-    found = spread_q.groupBy("_b", "_c").cogroup(spread_i.groupBy("_b", "_c")).applyInPandas(grid, schema)
-    return _rank(found, k)
-
-
-def words(text: Column) -> Column:
-    """Lower-case runs of letters."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
-
-
-def term_counts(texts: DataFrame, key: str, text: str) -> DataFrame:
-    return texts.select(key, F.explode(words(F.col(text))).alias("term")).groupBy(key, "term").agg(
-        F.count("*").alias("tf"))
-
-
-def text_search(
-    queries: DataFrame, articles: DataFrame, k: int = 3,
-    query_id: str = "query_id", article_id: str = "article_id", text: str = "text",
-    carry: Sequence[str] = (),
+                if len(batch):
+                    yield pd.DataFrame({name: np.repeat(batch[name].to_numpy(), n), "table": np.tile(np.arange(n, dtype="int32"), len(batch)),
+                                        "bucket": self.of(_matrix(batch["vector"])).ravel()})
+
+        return df.mapInPandas(work, f"{name} bigint, table int, bucket bigint")
+
+
+def collision(cosine: np.ndarray, bits: int) -> np.ndarray:
+    """The chance that two vectors of a given cosine share a bucket of so many planes."""
+    return (1 - np.arccos(np.clip(cosine, -1, 1)) / np.pi) ** bits
+
+
+def plan_buckets(cosines: np.ndarray, n_items: int, recall: float) -> tuple[int, int]:
+    """(tables, bits) that find neighbours of the given cosines with the wanted recall at the least expected work.
+
+    More planes make buckets smaller and need more tables. Work is the rows placed and the candidates met: unrelated
+    vectors share a bucket with the chance of cosine 0.
+    """
+    best = None
+    for bits in range(1, MOST_BITS + 1):
+        chance = collision(cosines, bits)
+        tables = 1
+        while tables < MOST_TABLES and np.mean(1 - (1 - chance) ** tables) < recall:
+            tables += 1
+        if np.mean(1 - (1 - chance) ** tables) >= recall:
+            work = tables * (1 + 0.5 ** bits * n_items)
+            if best is None or work < best[0]:
+                best = work, tables, bits
+    return best[1:] if best else (1, 0)
+
+
+def approximate_topk(
+    queries: DataFrame, items: DataFrame, k: int = 3, recall: float = 0.95, sample: int = 200, seed: int = 0,
+    query_id: str = "query_id", item_id: str = "item_id", vector: str = "vector",
 ) -> DataFrame:
-    """query_id, rank, score, article_id: cosine of tf-idf weights, the k best per query.
+    """query_id, rank, score, item_id by cosine: most of the k best, found through shared buckets and scored exactly.
 
-    Only articles that share a term with a query meet it, by an equi-join on the term.
-    Article norms and term rarities come from the article side; terms no article has
-    do not count.
+    The number of tables and planes follows from the cosines of the true neighbours of a bounded ``sample`` of the
+    queries, which the exact search finds, so that ``recall`` is what to expect of all; where no number of tables within
+    the bound can give it, there is one bucket, which is the exact search. Candidates come from an equi-join on table
+    and bucket; a pair that shares several buckets is scored once. Vectors without a direction are in no bucket.
     """
-    terms = term_counts(articles, article_id, text)
-    n_articles = articles.agg(F.count("*").cast("double").alias("n")).scalar()
-    rarity = terms.groupBy("term").agg(F.count("*").alias("df")).select(
-        "term", (F.log((n_articles + 1) / (F.col("df") + 1)) + 1).alias("idf"))
-    weighted = terms.join(rarity, "term").select(article_id, "term", (F.col("tf") * F.col("idf")).alias("w"))
-    asked = term_counts(queries, query_id, text).join(rarity, "term").select(
-        query_id, "term", (F.col("tf") * F.col("idf")).alias("qw"))
-    norms = weighted.groupBy(article_id).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    asked_norms = asked.groupBy(query_id).agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qnorm"))
-    dots = weighted.join(asked, "term").groupBy(query_id, article_id).agg(
-        F.sum(F.col("w") * F.col("qw")).alias("dot"))
-    scored = dots.join(norms, article_id).join(asked_norms, query_id).select(
-        query_id, article_id, F.round(F.col("dot") / (F.col("norm") * F.col("qnorm")), 9).alias("score"))
-    order = Window.partitionBy(query_id).orderBy(F.desc("score"), article_id)
-    top = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return top.join(articles.select(article_id, *carry), article_id) if carry else top
+    q, i = _vectors(queries, query_id, vector, "query_id"), _vectors(items, item_id, vector, "item_id")
+    asked = materialize_once(q.filter(F.exists("vector", lambda x: x != 0)), "vector-queries")
+    known = materialize_once(i.filter(F.exists("vector", lambda x: x != 0)), "vector-items")
+    some = asked.orderBy(F.xxhash64("query_id"), "query_id").limit(sample)
+    near = np.array([r["score"] for r in vector_topk(some, known, k).select("score").collect()])
+    first = known.first()
+    if not len(near) or first is None:
+        return vector_topk(asked, known, k)
+    tables, bits = plan_buckets(near, known.count(), recall)
+    buckets = Buckets.draw(tables, bits, len(first["vector"]), seed)
+    pairs = buckets.place(asked, "query_id").join(buckets.place(known, "item_id"), ["table", "bucket"]).select("query_id", "item_id").distinct()
+    unit = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x))
+    left = asked.select("query_id", F.col("vector").alias("q"), unit("vector").alias("ql"))
+    right = known.select("item_id", F.col("vector").alias("i"), unit("vector").alias("il"))
+    dot = F.aggregate(F.zip_with("q", "i", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    scored = pairs.join(left, "query_id").join(right, "item_id").select(
+        "query_id", "item_id", F.round(dot / (F.col("ql") * F.col("il")), 9).alias("score"))
+    return _rank(scored, k)

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.operators.retrieve import words
+from ebbtide.operators.search import words
 
 SENTENCE_END = r"[.!?\n]+"
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ebbtide.operators import evaluate as ev
+from ebbtide.operators import spans as sp
 from ebbtide.plans.oracle import VIEWS
 from ebbtide.plans.registry import query
 
@@ -95,3 +96,22 @@ def eval_compare(t):
  arg_max(text, turn) as result from conversations group by conv_id""")
 def trace_rollup(t):
     return ev.trace_rollup(t.raw("conversations"))
+
+
+@query("span_tree", """with recursive p as (select conv_id, turn, role, case role
+  when 'user' then (select max(b.turn) from conversations b where b.conv_id=a.conv_id and b.turn < a.turn and b.role in ('assistant','system'))
+  when 'assistant' then (select max(b.turn) from conversations b where b.conv_id=a.conv_id and b.turn < a.turn and b.role='user') end as parent
+  from conversations a),
+ up as (select conv_id, turn, turn as above, parent as next, 0 as d from p
+  union all select u.conv_id, u.turn, p.turn, p.parent, d + 1 from up u join p on p.conv_id=u.conv_id and p.turn=u.next),
+ depth as (select conv_id, turn, max(d) as depth from up group by all),
+ below as (select u.conv_id, u.above as turn, count(*) as spans, count(*) filter (where p.role='assistant') as assistant_spans
+  from up u join p on p.conv_id=u.conv_id and p.turn=u.turn group by all),
+ kids as (select conv_id, parent as turn, count(*) as children, count(*) filter (where role='assistant') as assistant_children from p
+  where parent is not null group by all)
+ select p.conv_id, p.turn, p.role, p.parent, depth.depth::bigint as depth, coalesce(children, 0) as children,
+  coalesce(assistant_children, 0) as assistant_children, spans, assistant_spans
+ from p join depth using (conv_id, turn) join below using (conv_id, turn) left join kids using (conv_id, turn)""")
+def span_tree(t):
+    return sp.span_tree(t.raw("conversations")).select(
+        "conv_id", "turn", "role", "parent", "depth", "children", "assistant_children", "spans", "assistant_spans")

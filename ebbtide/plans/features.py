@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ebbtide.operators import features as ft
+from ebbtide.operators import pointintime as pit
 from ebbtide.plans.oracle import VIEWS
 from ebbtide.plans.registry import query
 from ebbtide.session import shared_dir
@@ -151,3 +152,32 @@ def ml_label_encode(t):
 def keyed_feature_write(t):
     table = ft.build_features(t.customers, t.tickets)
     return _round_hours(ft.keyed_write(table, shared_dir(t.spark, "features"), ["customer_id"]))
+
+
+# Two labels for each customer, with dates of their own in the month of the tickets.
+VIEWS["dated_labels"] = """select customer_id, churn, timestamp '2024-01-02 00:00:00' + to_days((customer_id % 13 + 14 * k)::int)
+ + to_hours((customer_id % 24)::int) as label_date from churn_labels, (values (0), (1)) w(k)"""
+
+
+def _dated_labels(t):
+    second = F.explode(F.array(F.lit(0), F.lit(1))).alias("k")
+    rows = t.churn_labels.select("customer_id", "churn", second)
+    days = (F.col("customer_id") % 13 + F.col("k") * 14).cast("int")
+    date = F.lit("2024-01-02 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days, (F.col("customer_id") % 24).cast("int"))
+    return rows.select("customer_id", "churn", date.cast("timestamp_ntz").alias("label_date"))
+
+
+@query("training_set_as_of", """select l.customer_id, l.churn, l.label_date, count(t.ticket_id) as total_tickets,
+ count(*) filter (where t.category='billing') as billing_tickets, count(*) filter (where t.category='technical') as technical_tickets,
+ count(*) filter (where t.category='cancellation') as cancellation_tickets,
+ count(*) filter (where t.priority in ('high','critical')) as high_priority_tickets,
+ round(coalesce(avg(t.resolution_time_hours), 0), 6) as avg_resolution_hours, max(t.created_date) as last_ticket_date,
+ any_value(f.num_optional_services) as num_optional_services, any_value(f.contract_type) as contract_type
+ from dated_labels l join features f on f.customer_id = l.customer_id
+ left join service_tickets t on t.customer_id = l.customer_id and t.created_date < l.label_date
+ group by l.customer_id, l.churn, l.label_date""")
+def training_set_as_of(t):
+    rows = pit.training_set_at(_dated_labels(t), t.customers, t.tickets)
+    return _round_hours(rows).select(
+        "customer_id", "churn", "label_date", *ft.TICKET_COUNTS, "avg_resolution_hours", "last_ticket_date", "num_optional_services",
+        "contract_type")

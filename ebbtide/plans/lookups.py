@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from ebbtide.functions import sql_functions
 from ebbtide.operators import lookup as lk
 from ebbtide.operators import retrieve as rt
+from ebbtide.operators import search as se
 from ebbtide.operators.scoring import standin_score
 from ebbtide.plans.oracle import VIEWS, u
 from ebbtide.plans.registry import query
@@ -171,6 +173,20 @@ def vector_topk(t):
         "query_id", "rank", "item_id", F.round("score", 6).alias("score"), "category")
 
 
+@query("vector_topk_approximate", """select count(*) as queries, sum(least(20, n - 1))::bigint as wanted, true as recall_reached
+ from embeddings, (select count(*) as n from embeddings) where vec_id % 20 = 0""")
+def vector_topk_approximate(t):
+    """The approximate search against the exact one: of all true neighbours, at least nine in ten are found."""
+    items = t.raw("embeddings").select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"))
+    asked = items.filter("item_id % 20 = 0").withColumnRenamed("item_id", "query_id")
+    # A vector's own row is its best hit and is not counted.
+    exact, near = (f(asked, items, 21).filter("query_id <> item_id") for f in (rt.vector_topk, rt.approximate_topk))
+    exact = exact.withColumn("n", F.row_number().over(Window.partitionBy("query_id").orderBy("rank"))).filter("n <= 20")
+    hit = exact.select("query_id", "item_id").join(near.select("query_id", "item_id", F.lit(1).alias("hit")), ["query_id", "item_id"], "left")
+    return hit.agg(F.count_distinct("query_id").alias("queries"), F.count("*").alias("wanted"),
+                   (F.sum(F.coalesce("hit", F.lit(0))) >= 0.9 * F.count("*")).alias("recall_reached"))
+
+
 def _terms(source, key):
     return f"""select {key}, term, count(*) as tf from (select {key},
  unnest(string_split_regex(lower(text), '[^\\p{{L}}]+')) as term from {source}) where term <> '' group by all"""
@@ -196,7 +212,7 @@ VIEWS["ask_weights"] = "select item_id, term, tf*idf as qw from ask_terms join i
 def tool_search_kb(t):
     asked = t.raw("benchmark").select(F.col("item_id").alias("query_id"), "text")
     articles = t.raw("documents").withColumnRenamed("doc_id", "article_id")
-    return rt.text_search(asked, articles, 3, carry=("lang", "source")).withColumn("score", F.round("score", 6))
+    return se.text_search(asked, articles, 3, carry=("lang", "source")).withColumn("score", F.round("score", 6))
 
 
 # ---- retention worksheet --------------------------------------------------------------
@@ -207,7 +223,7 @@ def _articles(t):
     asked = lk.latest_ticket(t.tickets, "customer_id").select("customer_id").join(
         vectors.select(F.col("vec_id").alias("customer_id"), F.col("embedding").alias("vector")), "customer_id")
     items = vectors.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"))
-    found = rt.vector_topk(asked.withColumnRenamed("customer_id", "query_id"), items, 3, max_local_queries=1)
+    found = rt.vector_topk(asked.withColumnRenamed("customer_id", "query_id"), items, 3)
     return found.select(F.col("query_id").alias("customer_id"), "rank", F.col("item_id").alias("article_id"))
 
 

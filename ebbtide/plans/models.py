@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ebbtide.operators import attributions as at
 from ebbtide.operators import churn_model as cm
 from ebbtide.operators.features import avg_price_increase, build_features, feature_lookup
 from ebbtide.operators.quality import quality
@@ -47,8 +48,8 @@ def _tuned(t):
 
 
 def _model(t):
-    """The final model, fitted with the parameters of the best trial."""
-    return _shared(t, "model", lambda: cm.fit_final(_split(t, "train"), _tuned(t).best))
+    """The final model: the best trial's, fitted on the train split with all the rounds it asked for or could use."""
+    return _tuned(t).model
 
 
 @query("ml_preprocess")
@@ -74,7 +75,8 @@ def ml_standardize(t):
 
 @query("ml_tune")
 def ml_tune(t):
-    return _tuned(t).trials.select("trial", F.to_json("params").alias("params"), "f1_score", "roc_auc", "is_best")
+    return _tuned(t).trials.select(
+        "trial", F.to_json("params").alias("params"), "heat", "rounds", "f1_score", "log_loss", "roc_auc", "is_best")
 
 
 @query("ml_fit_final")
@@ -89,7 +91,7 @@ def ml_fit_final(t):
 def ml_persist_load(t):
     """The best model as Challenger, a plain one as Champion until the Challenger beats it on the val split."""
     store = cm.ModelStore(t.spark, shared_dir(t.spark, "models"))
-    plain = cm.fit_final(_split(t, "train"), cm.draw_params(0, 42, cm.SPACE))
+    plain = cm.fit_final(_split(t, "train"), cm.draw_params(0, 42, cm.SPACE), val=_split(t, "val"))
 
     def measured(model):
         q = quality(cm.score(model, _split(t, "val")), "label", "prediction", "churn_probability").first()
@@ -123,6 +125,12 @@ def ml_importance(t):
     return moved.withColumn("split_importance", known[F.col("column_name")])
 
 
+@query("ml_attributions")
+def ml_attributions(t):
+    """What each input column adds to the score of each test row; base and attributions add up to the margin."""
+    return at.row_attributions(_model(t), _split(t, "test"))
+
+
 @query("ml_serving_payload", """select customer_id, '{"tenure_months":' || tenure_months || ',"contract_type":"' ||
  contract_type || '","senior_citizen":' || senior_citizen || ',"total_tickets":' || total_tickets || '}' as payload
  from features""")

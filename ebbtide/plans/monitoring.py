@@ -127,17 +127,16 @@ def _drift(t):
     return dr.drift(_log(t), _baseline(t), "inference_timestamp", NUMERIC, CATEGORICAL)
 
 
-def _stacked(t):
-    return t.once("stacked", lambda: materialize_once(
-        dr.stacked_counts(_windowed(t), _baseline(t), NUMERIC, CATEGORICAL), "stacked"))
+def _compared(t):
+    return t.once("compared", lambda: dr.compare(_windowed(t), _baseline(t), NUMERIC, CATEGORICAL))
 
 
 def _numeric_only(t):
-    return dr.numeric_distances(dr.numbers_of(_stacked(t)))
+    return dr.numeric_distances(_compared(t))
 
 
 def _binned_only(t):
-    return dr.distribution_distances(dr.bin_counts(_stacked(t)))
+    return dr.distribution_distances(_compared(t))
 
 
 def _windowed(t):
@@ -269,7 +268,7 @@ def filter_null_tests(t):
 
 @query("baseline_join", """select "window", column_name, bin, nb, nw from drift_bins""")
 def baseline_join(t):
-    return dr.bin_counts(_stacked(t)).select("window", "column_name", "bin", "nb", "nw")
+    return dr.joined_bins(_compared(t)).select("window", "column_name", "bin", "nb", "nw")
 
 
 @query("drift_ks", 'select "window", column_name, round(ks,6) as ks_statistic from ks_w1')
@@ -375,6 +374,28 @@ def fn_coalesce(t):
         F.round(F.coalesce("chi_squared_test.statistic", "ks_test.statistic", F.lit(0.0)), 6).alias("statistic"))
 
 
+_SLICED = ("contract_type", "senior_citizen")
+_PER_SLICE = " union all ".join(
+    f"""select '{k}' as slice_key, {k}::varchar as slice_value, w as "window", '{c}' as column_name, v, sum(nb)::bigint as nb, sum(nw)::bigint as nw from (
+ select b.{k}, l."window" as w, {c}::varchar as v, 1 as nb, 0 as nw from baseline_rows b, log_windows l
+ union all select {k}, {_W}, {c}::varchar, 0, 1 from inference_log) group by all"""
+    for k in _SLICED for c in ("internet_service", "prediction"))
+
+
+@query("drift_slices", f"""with s as ({_PER_SLICE}),
+ p as (select *, nb::double/sum(nb) over g as q, nw::double/sum(nw) over g as p from s
+  window g as (partition by slice_key, slice_value, "window", column_name))
+ select "window", slice_key, slice_value, column_name, 'churn_model' as model_id, '1 month' as granularity, round(sum(abs(p-q))/2, 6) as tv_distance,
+ round(max(abs(p-q)), 6) as max_bin_diff, round(sum((greatest(p,1e-4)-greatest(q,1e-4))*ln(greatest(p,1e-4)/greatest(q,1e-4))), 6) as psi,
+ count(*)-1 as degrees from p group by slice_key, slice_value, "window", column_name""")
+def drift_slices(t):
+    """Drift of two columns for each contract type and age group, and the model it belongs to."""
+    moved = dr.drift(_log(t), _baseline(t), "inference_timestamp", (), ("internet_service", "prediction"), slices=_SLICED, model_id="model_id")
+    return moved.filter("slice_key is not null").select(
+        "window", "slice_key", "slice_value", "column_name", "model_id", "granularity", F.round("tv_distance", 6).alias("tv_distance"),
+        F.round("max_bin_diff", 6).alias("max_bin_diff"), F.round("population_stability_index", 6).alias("psi"), "degrees")
+
+
 # ---- quality --------------------------------------------------------------------------
 
 VIEWS["confusion"] = f"""select {_W} as "window", count(*) filter (where churn_label=1 and prediction=1)::double as tp,

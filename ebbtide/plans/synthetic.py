@@ -104,13 +104,56 @@ def synth_transcripts(t):
         "conv_id", "n"))
 
 
-@query("synth_reference_tables", f"""select 'PLAN-' || lpad(p_partkey::varchar, greatest(3, len(p_partkey::varchar))::int, '0') as plan_id,
+_CAPS = "array_to_string(list_transform(string_split({}, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ')"
+
+
+def _quoted(text):
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _values(rows):
+    return ", ".join("(" + ", ".join(_quoted(x) if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
+
+
+VIEWS["made_plans"] = f"""select 'PLAN-' || lpad(p_partkey::varchar, greatest(3, len(p_partkey::varchar))::int, '0') as plan_id,
  array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || w[2:]), ' ') as plan_name,
  p_retailprice as monthly_cost, case when p_size > 40 then -1 else p_size*10 end::bigint as data_limit_gb,
  case when p_size % 2 = 0 then -1 else 500 end::bigint as minutes_included,
  (['Month-to-month','One year','Two year'])[floor({u('p_partkey', 'term')} * 3e0)::bigint + 1] as contract_term
- from part""")
+ from part"""
+VIEWS["made_policies"] = f"""select 'POL-' || k as policy_id, policy_name, category,
+ date '2023-01-01' + (floor({u('k', 'effective-42')} * 730e0)::int) as effective_date,
+ replace(text, '{{place}}', {_CAPS.format('n_name')}) as policy_text
+ from (select *, code || '-' || n_nationkey as k from nation, (values {_values(sy.POLICY_TEXTS)}) p(code, policy_name, category, text))"""
+VIEWS["made_articles"] = f"""select 'ART-' || k as article_id, replace(replace(replace(title, '{{name}}', n), '{{price}}', c), '{{size}}', s) as title, category,
+ date '2024-01-01' + (floor({u('k', 'updated-42')} * 365e0)::int) as last_updated,
+ replace(replace(replace(text, '{{name}}', n), '{{price}}', c), '{{size}}', s) as content
+ from (select *, p_partkey || '-' || kind as k, {_CAPS.format('p_name')} as n, format('{{:,.2f}}', p_retailprice) as c, p_size::varchar as s
+ from part, (values {_values((i, *a) for i, a in enumerate(sy.ARTICLE_TEXTS))}) a(kind, category, title, text)
+ where (kind - floor({u('p_partkey', 'article-42')} * {len(sy.ARTICLE_TEXTS)}e0)::bigint + {len(sy.ARTICLE_TEXTS)}) % {len(sy.ARTICLE_TEXTS)} < 2)"""
+
+
+@query("synth_reference_tables", """select 'plans' as table_name, plan_id as id, plan_name as title, contract_term as category,
+  monthly_cost as amount, null::date as dated, concat_ws(' ', data_limit_gb, minutes_included) as content from made_plans
+ union all select 'policies', policy_id, policy_name, category, null, effective_date, policy_text from made_policies
+ union all select 'articles', article_id, title, category, null, last_updated, content from made_articles""")
 def synth_reference_tables(t):
+    """The three tables that the others refer to, one below the other: plans, policies of every place, articles on every product."""
+    none = F.lit(None)
+    plans = sy.synth_plans(t.raw("part")).select(
+        F.lit("plans").alias("table_name"), F.col("plan_id").alias("id"), F.col("plan_name").alias("title"), F.col("contract_term").alias("category"),
+        F.col("monthly_cost").alias("amount"), none.cast("date").alias("dated"), F.concat_ws(" ", "data_limit_gb", "minutes_included").alias("content"))
+    policies = sy.synth_policies(t.raw("nation")).select(
+        F.lit("policies").alias("table_name"), F.col("policy_id").alias("id"), F.col("policy_name").alias("title"), "category",
+        none.cast("double").alias("amount"), F.col("effective_date").alias("dated"), F.col("policy_text").alias("content"))
+    articles = sy.synth_articles(t.raw("part")).select(
+        F.lit("articles").alias("table_name"), F.col("article_id").alias("id"), "title", "category", none.cast("double").alias("amount"),
+        F.col("last_updated").alias("dated"), "content")
+    return plans.unionByName(policies).unionByName(articles)
+
+
+@query("synth_plans", "select * from made_plans")
+def synth_plans(t):
     return sy.synth_plans(t.raw("part"))
 
 
@@ -147,12 +190,17 @@ def synth_bill_lines(t):
     return sy.bill_lines(t.customers)
 
 
-@query("ingest_frame", """select p.policy_id, p.category, count(t.ticket_id) as tickets from policies p
- left join service_tickets t on t.category = p.category group by all""")
+@query("ingest_frame", """select p.policy_id, p.category, count(t.ticket_id) as tickets, count(distinct t.customer_id) as customers,
+ count(distinct case when c.churn='Yes' then t.customer_id end) as churners from policies p
+ left join service_tickets t on t.category = p.category left join customers c on c.customer_id = t.customer_id group by all""")
 def ingest_frame(t):
-    """Generated customers and the small policy table stored as tables, then read back and joined."""
+    """Customers, tickets and the small policy table stored as tables, read back and joined."""
     stored = write_overwrite(lk.policies(t.spark), shared_dir(t.spark, "policies"))
-    tickets = materialize_once(t.tickets.select("ticket_id", "category"), "tickets")
-    per_category = tickets.groupBy("category").agg(F.count("*").alias("tickets"))
+    customers = write_overwrite(t.customers.select("customer_id", "churn"), shared_dir(t.spark, "customers"))
+    tickets = materialize_once(t.tickets.select("ticket_id", "customer_id", "category"), "tickets")
+    # One row for each customer and category before the join.
+    asked = tickets.groupBy("category", "customer_id").agg(F.count("*").alias("n")).join(customers, "customer_id", "left")
+    per_category = asked.groupBy("category").agg(
+        F.sum("n").alias("tickets"), F.count("customer_id").alias("customers"), F.count(F.when(F.col("churn") == "Yes", 1)).alias("churners"))
     return stored.join(per_category, "category", "left").select(
-        "policy_id", "category", F.coalesce("tickets", F.lit(0)).alias("tickets"))
+        "policy_id", "category", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("tickets", "customers", "churners")])

@@ -202,20 +202,29 @@ def confidence_route(t):
 
 # ---- documents ------------------------------------------------------------------------
 
+# Written apart from the operator's patterns: what is not shown is cut out, inline tags turn to spaces, and the rest falls
+# into whole blocks and tags with the text behind them.
+_CUT = "(?is)<(script|style)[^a-z0-9_].*?</(script|style)>|<!--.*?-->|<(script|style)>.*?</(script|style)>"
+_WITHIN = "(?i)</?(a|b|i|u|em|strong|span|small|sup|sub|br|code|font)([^a-z0-9_>][^>]*)?>"
+_PIECES = ("(?is)" + "|".join(f"<{w}(?:[^a-z0-9_>][^>]*)?>.*?</{w}>" for w in ("nav", "header", "footer", "table", "figure"))
+           + "|<[^>]+>[^<]*|[^<]+")
+
+
 def _plain_sql(x):
-    text = f"regexp_replace({x}, '{dc.TAG}', ' ', 'g')"
-    for entity, character in dc.ENTITIES.items():
-        text = f"replace({text}, '{entity}', '{character.replace(chr(39), chr(39) * 2)}')"
-    return f"trim(regexp_replace({text}, '\\s+', ' ', 'g'))"
+    text = f"regexp_replace({x}, '<[^>]*>', ' ', 'g')"
+    for entity, character in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&copy;", "©"),
+                              ("&middot;", "·"), ("&amp;", "&")):
+        text = f"replace({text}, '{entity}', '{character}')"
+    return f"trim(regexp_replace({text}, '[ \\t\\n\\v\\f\\r]+', ' ', 'g'))"
 
 
 VIEWS["elements"] = f"""select page_id, (row_number() over (partition by page_id order by o) - 1)::int as id, content,
- case when tag='title' then 'title' when regexp_full_match(tag,'h[1-6]') then 'section_header'
+ case when tag='title' then 'title' when tag in ('h1','h2','h3','h4','h5','h6') then 'section_header'
  when tag in ('nav','header') then 'page_header' when tag='footer' then 'page_footer' when tag='table' then 'table'
  when tag in ('figure','img') then 'figure' else 'text' end as type
- from (select page_id, o, lower(regexp_extract(b, '{dc.TAG_NAME}', 1)) as tag, {_plain_sql('b')} as content from (
+ from (select page_id, o, lower(regexp_extract(b, '^<[/]?([A-Za-z0-9]+)', 1)) as tag, {_plain_sql('b')} as content from (
  select page_id, unnest(m) as b, generate_subscripts(m, 1) as o from (select page_id, regexp_extract_all(
- regexp_replace(regexp_replace(html, '{dc.HIDDEN}', '', 'g'), '{dc.INLINE}', ' ', 'g'), '{dc.BLOCK}') as m from pages)))
+ regexp_replace(regexp_replace(html, '{_CUT}', '', 'g'), '{_WITHIN}', ' ', 'g'), '{_PIECES}') as m from pages)))
  where content <> ''"""
 
 
@@ -225,11 +234,22 @@ def _parsed(t):
         dc.parse_documents(t.raw("pages"), "page_id", "html").select("page_id", "url", "parsed"), "parsed"))
 
 
-@query("parse_document", "select page_id, id, type, content, null::varchar as error_status from elements")
+@query("parse_document", """select p.page_id, id, type, content, case when coalesce(html, '') = '' then 'empty document'
+  when id is null then 'no text' end as error_status, case when id is not null then true end as in_place, case when id is not null then true end as in_order
+ from pages p left join elements e on e.page_id = p.page_id""")
 def parse_document(t):
+    """Elements with their places: the piece of the source between start and end holds the content, and pieces do not overlap.
+
+    A page without elements is a row with its error.
+    """
     parsed = dc.parse_documents(t.raw("pages"), "page_id", "html")
-    return parsed.select("page_id", F.explode("parsed.document.elements").alias("e"), "parsed.error_status").select(
-        "page_id", "e.id", "e.type", "e.content", "error_status")
+    rows = parsed.select("page_id", "html", F.explode_outer("parsed.document.elements").alias("e"), "parsed.error_status",
+                         F.col("parsed.document.elements").alias("all"))
+    before = F.get("all", F.col("e.id") - 1)["end"]
+    return rows.select(
+        "page_id", "e.id", "e.type", "e.content", "error_status",
+        (dc.source_text(F.col("html"), F.col("e.start"), F.col("e.end")) == F.col("e.content")).alias("in_place"),
+        F.when(F.col("e.id").isNotNull(), (F.coalesce(before, F.lit(0)) <= F.col("e.start")) & (F.col("e.start") < F.col("e.end"))).alias("in_order"))
 
 
 @query("page_elements_filter", "select page_id, id, type, len(content)::int as letters from elements")

@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.operators.retrieve import words
+from ebbtide.operators.search import words
 from ebbtide.schemas import schema_of
 from ebbtide.sources.sinks import store_of, swap_in
 

@@ -8,6 +8,7 @@ from conftest import rows
 from ebbtide.operators import documents as dc
 from ebbtide.operators import evaluate as ev
 from ebbtide.operators import retrieve as rt
+from ebbtide.operators import search as se
 from ebbtide.operators import text as tx
 
 
@@ -99,19 +100,19 @@ def test_topk_equals_brute_force(spark, local):
     queries = np.vstack([items[3], rng.normal(size=(4, 8))])
     i = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(items)], "item_id bigint, vector array<double>")
     q = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(queries)], "query_id bigint, vector array<double>")
-    got = rt.vector_topk(q, i.repartition(5), 4, max_local_queries=local).orderBy("query_id", "rank").collect()
+    got = rt.vector_topk(q, i.repartition(5), 4, block=local).orderBy("query_id", "rank").collect()
     for k, v in enumerate(queries):
         norms = np.linalg.norm(items, axis=1)
         scores = np.where(norms > 0, items @ v / np.where(norms > 0, norms, 1) / np.linalg.norm(v), 0).round(9)
         want = sorted(range(60), key=lambda j: (-scores[j], j))[:4]
         assert [r.item_id for r in got if r.query_id == k] == want
-    assert rt.vector_topk(q, i, 100, max_local_queries=local).count() == 5 * 60  # k larger than the table
+    assert rt.vector_topk(q, i, 100, block=local).count() == 5 * 60  # k larger than the table
 
 
 def test_search(spark):
     articles = texts(spark, "red fox", "blue fox", "blue whale whale").withColumnRenamed("id", "article_id")
     asked = spark.createDataFrame([(0, "whale"), (1, "fox red"), (2, "absent")], "query_id bigint, text string")
-    got = {(r.query_id, r["rank"]): r.article_id for r in rt.text_search(asked, articles, 2).collect()}
+    got = {(r.query_id, r["rank"]): r.article_id for r in se.text_search(asked, articles, 2).collect()}
     assert got == {(0, 1): 2, (1, 1): 0, (1, 2): 1}
 
 
@@ -120,7 +121,7 @@ def test_eval(spark):
                                    (1, 2, "user", "thanks"), (2, 0, "user", "mail"), (2, 1, "assistant", "a.b@c.de")],
                                   "conv_id int, turn int, role string, text string")
     ex = ev.eval_dataset(turns)
-    assert sorted(r.example_id for r in ex.collect()) == ["1-0", "2-0"]
+    assert sorted(r.example_id for r in ex.collect()) == ["1-0", "1-2", "2-0"]  # a question without an answer stays
     got = {(r.example_id, r.scorer): r.score for r in ev.eval_score(ex).collect()}
     assert got[("1-0", "relevance")] == pytest.approx(2 / 6) and got[("1-0", "guideline_grounded")] == 1
     assert got[("2-0", "safety")] == 0 and got[("1-0", "safety")] == 1
