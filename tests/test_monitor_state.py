@@ -160,9 +160,7 @@ def test_windows_close_late_rows_are_counted_and_the_rest_is_open(spark, tmp_pat
     got = {(r.kind, r.by, int(r.s)): (r["count"], r.avg, r.nulls) for r in wd.read_windows(spark, path, checkpoint).withColumn(
         "s", F.unix_seconds("window_start")).collect()}
     assert got == {("closed", "a", 0): (3, 2.0, 1), ("late", "a", 0): (1, 7.0, 0), ("closed", "b", hour): (1, 2.0, 0),
-                   ("late", "b", hour): (1, 8.0, 0), ("open", "a", 3 * hour): (2, 5.5, 0), ("open", None, 2 * hour): (1, 4.0, 0)} or \
-        got == {("closed", "a", 0): (3, 2.0, 1), ("late", "a", 0): (1, 7.0, 0), ("closed", "b", hour): (1, 2.0, 0),
-                ("late", "b", hour): (1, 8.0, 0), ("open", "a", 3 * hour): (2, 5.5, 0), ("closed", None, 2 * hour): (1, 4.0, 0)}
+                   ("late", "b", hour): (1, 8.0, 0), ("open", "a", 3 * hour): (2, 5.5, 0), ("open", None, 2 * hour): (1, 4.0, 0)}
 
 
 # ---- snapshots ------------------------------------------------------------------------
@@ -176,9 +174,9 @@ def test_changes_of_two_snapshots(spark, depth):
     new = [r for r in new if r != (500, "twice", 2.0, None)] + [(500, "twice", 9.0, None)]
     a = ch.take_snapshot(spark.createDataFrame(old, schema), ("k", "j"), depth=depth)
     b = ch.take_snapshot(spark.createDataFrame(new, schema).repartition(5), ("k", "j"), depth=depth)
-    got = sorted((r._change, r.k, r.v) for r in ch.changes(a, b).collect())
-    assert got == sorted([("delete", 3, 3.0), ("delete", 4, 4.0), ("update", 7, 107.0), ("update", 8, 108.0), ("insert", 1000, None),
-                          ("update", 500, 9.0), ("insert", 600, 1.0)], key=lambda x: (x[0], x[1], str(x[2]))) or len(got) == 7
+    got = {(r._change, r.k, r.v) for r in ch.changes(a, b).collect()}
+    assert got == {("delete", 3, 3.0), ("delete", 4, 4.0), ("update", 7, 107.0), ("update", 8, 108.0), ("insert", 1000, None),
+                   ("update", 500, 9.0), ("insert", 600, 1.0)} and ch.changes(a, b).count() == 7
     assert ch.changes(a, a).count() == 0 and ch.changed_leaves(a, a).count() == 0
     if depth == 2:
         assert 0 < ch.changed_leaves(a, b).count() <= 7
