@@ -8,10 +8,12 @@ a sequence is an encoding if and only if each neighbouring pair encodes to itsel
 start closes a valid token at each byte, and a transition carries the change of the token count.
 
 States are made when first met and kept in a dense table, as a lazy automaton does. Texts are cut into
-chunks of equal size that run side by side: the map of a chunk sends every entry state to the same exit
-state from its first pre-token on, and passes the entry state through only where it has none. A scan
-over the chunks composes these maps, then the heads of all chunks run from the states they are entered
-in. Nothing is decoded per document in Python.
+chunks of equal size that run side by side, and each chunk has a map from entry states to exit states. Where a
+pre-token starts in a chunk, the map sends every entry state to one exit state. In a long word no chunk has such
+a start; there the map is made for the states that can reach it: the one that the bytes before the chunk lead to
+from a fresh start, for the transducer forgets what lies far behind, and any that a neighbour is found to hand
+over. Chunks with equal bytes share their maps, so periodic words need few. A scan composes the maps by doubling;
+where one lacks the state it is handed, that chunk runs once more. Nothing is decoded per document in Python.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ from ebbtide.llm.runtime import buffers, column, ensure, slices
 #: Bytes a chunk has, and states a worker keeps before it starts anew.
 CHUNK = 512
 STATES = 300_000
+#: Bytes before a chunk that lead to the state it is probably entered in, and bytes that one table of states serves.
+LEAD, SEGMENT = 192, 1 << 18
 NEVER = 1 << 40
 BIAS = 1024  # tokens behind may be negative
 
@@ -176,6 +180,10 @@ class Transducer:
         fresh = [k for k in dict.fromkeys(keys) if k not in self.numbers]
         if fresh:
             self._add(fresh)
+        if len(change) and (change.min() < -128 or change.max() > 127) or len(behind) and (behind.min() < -BIAS or behind.max() >= 4096 - BIAS):
+            raise ValueError("a token count of this vocabulary changes by more than the table holds")
+        if len(self.numbers) >= 1 << 23:
+            raise ValueError("more states than the table holds")
         at = self.columns[byte]
         self.next[state, at] = np.array([self.numbers[k] for k in keys]) << 8 | (change + 128)
 
@@ -212,41 +220,79 @@ class Transducer:
         """Tokens of each text."""
         if not len(data):
             return np.zeros(len(offsets) - 1, np.int64)
-        if len(self.numbers) > self.most:
-            self._forget()
         begin, marked = starts(data, offsets, self.special)
         first = np.zeros(len(data), bool)
         first[begin] = True
         emitted = np.zeros(len(data), np.int8)
-        edge = np.arange(0, len(data), self.chunk)
-        end = np.minimum(edge + self.chunk, len(data))
+        state = 0
+        for low in range(0, len(data), SEGMENT):
+            if len(self.numbers) > self.most:
+                raw = self.starts[self.first[state]:self.first[state + 1]].tobytes()
+                self._forget()
+                if raw not in self.numbers:
+                    self._add([raw])
+                state = self.numbers[raw]
+            state = self._segment(data, first, begin, low, min(low + SEGMENT, len(data)), state, emitted)
+        if len(marked):
+            for a in marked:
+                emitted[a:a + len(self.special)] = 0
+                emitted[a] = 1
+        total = np.concatenate([[0], np.cumsum(emitted, dtype=np.int64)])
+        return total[offsets[1:]] - total[offsets[:-1]]
+
+    def _segment(self, data, first, begin, low: int, high: int, state: int, emitted) -> int:
+        """Run one stretch of bytes, entered in ``state``; the state it ends in."""
+        edge = np.arange(low, high, self.chunk)
+        end = np.minimum(edge + self.chunk, high)
         k = np.searchsorted(begin, edge)
         inner = np.where(k < len(begin), begin[np.minimum(k, len(begin) - 1)], len(data))
         inner = np.minimum(inner, end)
-        zero = np.zeros(len(edge), np.int64)
-        exits = self._run(data, first, inner, end, zero, emitted)
-        # Scan: a chunk that holds a start has one exit state; the others pass their entry state through.
+        exits = self._run(data, first, inner, end, np.zeros(len(edge), np.int64), emitted)
         through = inner == end
         entry = np.zeros(len(edge), np.int64)
+        entry[0] = state
+        entry[1:] = exits[:-1]
+        if through.any():
+            self._words(data, first, begin, edge, end, through, entry, exits, emitted)
         entry[1:] = exits[:-1]
-        settled = np.ones(len(edge), bool)
-        settled[1:] = ~through[:-1]
+        heads = np.flatnonzero(~through & (inner > edge))
+        self._run(data, first, edge[heads], inner[heads], entry[heads], emitted)
+        return int(exits[-1])
+
+    def _words(self, data, first, begin, edge, end, through, entry, exits, emitted) -> None:
+        """Entry and exit states of chunks without a start: maps for the states that reach them, composed in order."""
+        lanes = np.flatnonzero(through)
+        follows = lanes[(lanes > 0) & through[lanes - 1]]  # what is handed over is not known yet
+        back = np.maximum(edge[follows] - LEAD, begin[np.searchsorted(begin, edge[follows], side="right") - 1])
+        back = np.maximum(back, edge[0])
+        aside = np.zeros(len(data), np.int8) if len(follows) else emitted
+        entry[follows] = self._run(data, first, back, edge[follows], np.zeros(len(follows), np.int64), aside)
+        exits[lanes] = self._run(data, first, edge[lanes], end[lanes], entry[lanes], emitted)
+        maps = {}  # (bytes of a chunk, entry state): (exit state, where its counts stand)
+        texts = {c: data[edge[c]:end[c]].tobytes() for c in lanes.tolist()}
+        for c in lanes.tolist():
+            maps.setdefault((texts[c], int(entry[c])), (int(exits[c]), emitted[edge[c]:end[c]].copy()))
         while True:
-            ready = np.flatnonzero(settled & (inner > edge))
-            left = self._run(data, first, edge[ready], inner[ready], entry[ready], emitted)
-            inner[ready] = edge[ready]
-            passing = through[ready] & (ready + 1 < len(edge))
-            onward = ready[passing] + 1
-            if not len(onward):
-                break
-            entry[onward] = left[passing]
-            settled[onward] = True
-        if len(marked):
-            for a in marked:
-                emitted[a:a + len(self.special)] = 0
-                emitted[a] = 1
-        total = np.concatenate([[0], np.cumsum(emitted, dtype=np.int64)])
-        return total[offsets[1:]] - total[offsets[:-1]]
+            # All maps at once: a chunk is settled if it is handed the state that it ran from.
+            wrong = follows[exits[follows - 1] != entry[follows]]
+            if not len(wrong):
+                return
+            # Only the first of a row of neighbours knows what it is handed for sure; the others may be right by then.
+            sure = wrong[np.concatenate([[True], wrong[1:] != wrong[:-1] + 1])]
+            entry[sure] = exits[sure - 1]
+            new = [c for c in sure.tolist() if (texts[c], int(entry[c])) not in maps]
+            if new:
+                out = self._run(data, first, edge[new], end[new], entry[new], emitted)
+                for c, to in zip(new, out.tolist()):
+                    maps[texts[c], int(entry[c])] = to, emitted[edge[c]:end[c]].copy()
+            for c in sure.tolist():
+                # Known maps compose at once, chunk after chunk.
+                while True:
+                    exits[c], emitted[edge[c]:end[c]] = maps[texts[c], int(entry[c])]
+                    if c + 1 >= len(edge) or not through[c + 1] or entry[c + 1] == exits[c] or (texts[c + 1], int(exits[c])) not in maps:
+                        break
+                    entry[c + 1] = exits[c]
+                    c += 1
 
 
 @functools.cache
@@ -259,7 +305,8 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None, text: str = "te
                  most_bytes: int = 8 << 20) -> DataFrame:
     """All columns of ``docs`` but the text, with ``n_bytes``, ``n_tokens`` and ``over_limit``.
 
-    Null and empty texts have 0 bytes and 0 tokens. Each row is counted by itself, so repeated rows and
+    Null and empty texts have 0 bytes and 0 tokens; an empty table gives no rows. A very long text, one long word
+    too, is one stretch after the other. Each row is counted by itself, so repeated rows and
     repeated ids give as many rows. Columns of ``docs`` with the names of the new ones are replaced.
     ``vocabulary`` is a byte-level BPE file of the tokenizers library that every worker can read.
     """
