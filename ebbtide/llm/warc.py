@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.llm.runtime import column, ensure, slices, stored
@@ -29,11 +29,21 @@ END = b"\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Bytes after which a task begins a new archive; bytes a reading task scans; most bytes of a record's head.
 ARCHIVE, RANGE, HEAD = 64 << 20, 8 << 20, 1 << 20
+#: Ranges that a reading task takes at most, where there are many.
+RANGES = 16
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its store: one without a scheme is in the cluster's default store, not on each task's own disk."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
 
 
 def file_system(path: str) -> tuple[arrow_fs.FileSystem, str]:
     """The store of a path and the path in it; any store Arrow knows (local, HDFS, S3, GCS)."""
-    return arrow_fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (arrow_fs.LocalFileSystem(), path)
+    if path.startswith("file:"):
+        return arrow_fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return arrow_fs.FileSystem.from_uri(path)
 
 
 def base32(hex_digest: str) -> str:
@@ -85,7 +95,7 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_by
     response. Other columns are left out; an empty table gives no archive. A file gets its name only when
     it is complete, so a repeated task replaces it as a whole.
     """
-    ensure(pages.sparkSession)
+    path = qualified(ensure(pages.sparkSession), path)
     rows = decide(pages.select("page_id", "url", "html"), least_bytes).select("page_id", "url", "payload", "digest", "response_id")
     names = rows.columns
 
@@ -126,9 +136,13 @@ def read_archives(archives: DataFrame, path: str, range_bytes: int = RANGE) -> D
     Bytes and digest of a response are those of the payload read; a revisit has them from its head.
     """
     spark = ensure(archives.sparkSession)
+    path = qualified(spark, path)
     ranges = archives.where("bytes > 0").select("file", "bytes", F.explode(F.sequence(
         F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(range_bytes).cast("long"))).alias("start"))
-    ranges = ranges.repartition("file", "start")
+    # The rows are tiny and stand for whole ranges, so their number sets the tasks, not their bytes.
+    n_ranges = archives.agg(F.sum(F.ceil(F.col("bytes") / range_bytes))).first()[0] or 1
+    tasks = int(max(min(2 * n_ranges, 3 * spark.sparkContext.defaultParallelism), -(-n_ranges // RANGES)))
+    ranges = ranges.repartition(tasks, "file", "start")
 
     def head_at(source, at: int, size: int, data: bytes, base: int) -> tuple[dict, int] | None:
         """(fields, offset of the payload) of the record at an offset; ``data`` holds the file from ``base`` on."""
@@ -226,5 +240,5 @@ def read_archives(archives: DataFrame, path: str, range_bytes: int = RANGE) -> D
     def made(out: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
-    return entries.repartition("file", "start").mapInArrow(
+    return entries.repartition(tasks, "file", "start").mapInArrow(
         records, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long")
