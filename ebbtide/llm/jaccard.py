@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.runtime import buffers, column, ensure, slices, stored
+from ebbtide.llm.runtime import buffers, carried, column, ensure, slices, stored
 from ebbtide.llm.wordhash import FACTOR, letters, mixed, run_hashes, word_hashes, word_spans
 
 SHINGLE, SIMILAR = 5, (4, 5)
@@ -346,9 +346,9 @@ def keep_one(docs: DataFrame, joined: DataFrame) -> DataFrame:
     marked = rows.join(chosen, both, "left").select(rows["doc_id"].alias("_id"), rows["text_md5"].alias("_md5"), "rows", "chosen")
     # Most rows stay and are alone; only the others are looked up, so a small table decides.
     odd = stored(marked.where("chosen is null or rows > 1"), "not-kept")
-    keyed = docs.withColumn("_text", F.md5(F.coalesce("text", F.lit(""))))
-    met = keyed.join(odd, keyed["doc_id"].eqNullSafe(odd["_id"]) & (keyed["_text"] == odd["_md5"]), "left")
-    names = docs.columns
-    plain = met.where("_md5 is null").select(*(f"`{c}`" for c in names))
-    repeated = met.where("chosen").dropDuplicates(["_id", "_text"]).select(*(f"`{c}`" for c in names))
-    return plain.unionByName(repeated)
+    user, back = carried(docs, docs.columns)
+    keyed = docs.select(user, F.col("doc_id").alias("the_id"), F.md5(F.coalesce("text", F.lit(""))).alias("_text"))
+    met = keyed.join(odd, keyed["the_id"].eqNullSafe(odd["_id"]) & (keyed["_text"] == odd["_md5"]), "left")
+    plain = met.where("_md5 is null").select("user")
+    repeated = met.where("chosen").dropDuplicates(["_id", "_text"]).select("user")
+    return plain.unionByName(repeated).select(*back)

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ebbtide.llm.runtime import carried
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -104,12 +106,13 @@ def license_scan(docs: DataFrame, templates: tuple[Template, ...] = PHRASES + WO
     0. The base columns speak of the templates with ``base`` set; ``labels`` of all; ``score`` is the
     largest share at any proposed place, 0 without one. Null and empty texts have no words and no
     labels (an empty string). Rows are scanned each by itself; columns of ``docs`` with the names of
-    the new ones are replaced. The empty table gives no rows.
+    the new ones are replaced, all others come out unchanged. The empty table gives no rows. Repeated rows are scanned each;
+    places of one template that overlap are all listed. A very long text is one row like any other.
     """
     documents_with = frequencies(docs, templates, text)
     index = rare_words(templates, documents_with, rare)
     new = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "places"]
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in new]
+    user, kept = carried(docs, [c for c in docs.columns if c not in new])
     keys = list(index)
     postings = F.create_map(*(x for w in keys for x in (F.lit(w), F.array(*(
         F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in index[w])))))
@@ -133,7 +136,7 @@ def license_scan(docs: DataFrame, templates: tuple[Template, ...] = PHRASES + WO
 
     hits = F.filter(F.transform("_words", lambda w, i: F.when(w.isin(keys), F.struct(w.alias("w"), i.alias("i")))), lambda h: h.isNotNull())
     hits = F.when(F.arrays_overlap("_words", F.array(*map(F.lit, keys))), hits)
-    rows = docs.withColumn("_words", words(text)).withColumn("_hits", hits)
+    rows = docs.select(user, words(text).alias("_words")).withColumn("_hits", hits)
     rows = rows.withColumn("_judged", F.transform(F.array_distinct(F.flatten(F.transform("_hits", proposals))), judged))
     rows = rows.withColumn("_found", F.coalesce(F.filter("_judged", lambda j: j["found"]), F.array().cast(
         "array<struct<label:string,start:int,share:double,base:boolean,found:boolean>>")))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.runtime import buffers, column, ensure, slices, stored
+from ebbtide.llm.runtime import buffers, carried, column, ensure, quoted, slices, stored
 
 #: Most labelled documents a model is fitted on, most words it knows, documents a known word has at least.
 FIT_ROWS, LEXICON, LEAST_DOCUMENTS = 20_000, 5_000, 3
@@ -200,16 +200,21 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
 
     The host and path of a document are two of its columns; null is a host and a path of its own. A null
     text is judged as the empty one. Each row is judged by itself, repeated rows alike. Columns of
-    ``docs`` with the names of the new ones are replaced. An empty table gives no rows.
+    ``docs`` with the names of the new ones are replaced, all others come out unchanged. An empty table gives
+    no rows; without labels the rates alone decide. A very long text is measured as a whole. A document on the
+    threshold is not kept.
     """
     new = ("p_poor", "p_toxic", "keep")
     docs = docs.drop(*new)
     model = fit(docs, labels, fit_rows, text)
-    needed = docs.select(F.col(f"`{host}`").alias("_h"), F.col(f"`{path}`").alias("_p"), F.col(f"`{text}`").alias("text"))
-    priors = site_priors(evidence(needed, model), F.col("_h"), F.col("_p"))
-    scored = evidence(docs, model, text)
-    joined = scored.join(priors, scored[host].eqNullSafe(priors["_host"]) & scored[path].eqNullSafe(priors["_path"]), "left")
-    for t in TARGETS:
-        joined = joined.withColumn(f"p_{t}", _sigmoid(F.col(f"_{t}") + F.coalesce(f"_prior_{t}", F.lit(0.0))))
+    user, back = carried(docs, [c for c in docs.columns if c != text])
+    back.insert(docs.columns.index(text), F.col("text").alias(text))
+    site = (F.col(quoted(host)).alias("_h"), F.col(quoted(path)).alias("_p"))
+    the_text = F.col(quoted(text)).alias("text")
+    priors = site_priors(evidence(docs.select(*site, the_text), model), F.col("_h"), F.col("_p"))
+    scored = evidence(docs.select(user, *site, the_text), model)
+    joined = scored.join(priors, scored["_h"].eqNullSafe(priors["_host"]) & scored["_p"].eqNullSafe(priors["_path"]), "left")
+    p = {t: _sigmoid(F.col(f"_{t}") + F.coalesce(f"_prior_{t}", F.lit(0.0))) for t in TARGETS}
+    judged = joined.select("user", "text", *(p[t].alias(f"p_{t}") for t in TARGETS))
     keep = (F.col("p_poor") < threshold) & (F.col("p_toxic") < threshold)
-    return joined.withColumn("keep", keep).select(*(f"`{c}`" for c in docs.columns), *new)
+    return judged.select(*back, "p_poor", "p_toxic", keep.alias("keep"))

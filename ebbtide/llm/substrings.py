@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.runtime import buffers, column, discard, ensure, slices, stored
+from ebbtide.llm.runtime import buffers, carried, column, discard, ensure, quoted, slices, stored
 from ebbtide.llm.wordhash import blanks, run_hashes, word_hashes, word_spans
 
 WINDOW, ANCHOR = 13, 5
@@ -207,7 +207,8 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, run: int = ANCHOR, crowd
 
     Words lie between ASCII white space. Windows have ``size`` words; shorter texts lose nothing. Windows
     are judged on the input. A null text has no words. Rows with a null id lose nothing and cost nobody
-    anything. Rows that share an id never cost each other anything. Columns of ``docs`` with the names of
+    anything. Rows that share an id never cost each other anything. An empty table gives no rows; a very long
+    text is a row like any other. Columns of ``docs`` with the names of
     the new ones are replaced. Hashes of 64 bits choose anchors and tell rows of one id apart; what is
     removed is decided on the words themselves.
     """
@@ -234,13 +235,14 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, run: int = ANCHOR, crowd
     found = found.select("row", F.filter(F.transform("firsts", lambda f, k: F.when(f < F.col("doc_id"), F.col("window") + k)),
                                          lambda x: x.isNotNull()).alias("w")).where(F.size("w") > 0)
     gone = stored(found.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_list("w"))).alias("windows")), "windows")
-    joined = docs.select(*(F.col(f"`{f.name}`") for f in kept), key.alias("row_key"))
-    joined = joined.join(gone, joined["row_key"] == gone["row"], "left").select(*(f"`{f.name}`" for f in kept), "windows")
+    user, back = carried(docs, [f.name for f in kept if f.name != text])
+    joined = docs.select(user, F.col(quoted(text)).alias("text"), key.alias("row_key"))
+    joined = joined.join(gone, joined["row_key"] == gone["row"], "left").select("user", "text", "windows")
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, text):
+        for piece in slices(batches):
             n, removed, left = [], [], []
-            for value, windows in zip(column(piece, text).to_pylist(), column(piece, "windows").to_pylist()):
+            for value, windows in zip(column(piece, "text").to_pylist(), column(piece, "windows").to_pylist()):
                 words = find_words(value) if value else []
                 n.append(len(words))
                 if windows:
@@ -251,9 +253,11 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, run: int = ANCHOR, crowd
                     words = [w for w, k in zip(words, keep.tolist()) if k]
                 removed.append(n[-1] - len(words))
                 left.append(" ".join(words))
-            columns = [column(piece, f.name) for f in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(left, pa.string())],
-                                             [*(f.name for f in kept), *new])
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "n_words long, n_removed long, kept_text string"])
-    return joined.mapInArrow(strip, schema)
+            yield pa.RecordBatch.from_arrays(
+                [column(piece, "user"), column(piece, "text"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(left, pa.string())],
+                ["user", "text", *new])
+
+    schema = f"user {joined.schema['user'].dataType.simpleString()}, text string, n_words long, n_removed long, kept_text string"
+    if text in [f.name for f in kept]:
+        back.insert([f.name for f in kept].index(text), F.col("text").alias(text))
+    return joined.mapInArrow(strip, schema).select(*back, *new)
