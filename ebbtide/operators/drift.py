@@ -161,18 +161,23 @@ def numeric_distances(compared: Compared) -> DataFrame:
         cdf.filter(F.col("rank").isNull()), allowMissingColumns=True)
     n, v, next_v, share = F.col("base_n"), F.col("value"), F.col("next_value"), F.col("cum_n") / F.col("total_n")
 
-    def integral(at: Column, count: Column, total: Column) -> Column:
-        """Of the baseline's CDF up to a place, from the values up to there and their sum."""
-        return (at * count - total) / n
-
-    here, there = integral(v, F.col("cn"), F.col("cs")), integral(next_v, F.col("next_cn"), F.col("next_cs"))
+    here, there = (v, F.col("cn"), F.col("cs")), (next_v, F.col("next_cn"), F.col("next_cs"))
     place = F.col("x.at")
-    cross = F.when(place <= v, v).when(place >= next_v, next_v).otherwise(place)
-    at_cross = F.when(place <= v, here).when(place >= next_v, there).otherwise(integral(place, F.col("x.cum_n"), F.col("x.cum_s")))
-    between = share * (cross - v) - (at_cross - here) + (there - at_cross) - share * (next_v - cross)
-    end = F.col("base_max")
-    behind = F.when(end > v, (end - v) - (integral(end, n, F.col("base_s")) - here)).otherwise(F.lit(0.0))
-    area = F.when(next_v.isNotNull(), between).otherwise(behind) + F.when(F.col("cum_n") == F.col("n"), here).otherwise(F.lit(0.0))
+
+    def at_cross(at_v: Column, at_next: Column, inside: Column) -> Column:
+        return F.when(place <= v, at_v).when(place >= next_v, at_next).otherwise(inside)
+
+    cross = tuple(at_cross(h, t, x) for h, t, x in zip(here, there, (place, F.col("x.cum_n"), F.col("x.cum_s"))))
+
+    def risen(a: tuple, b: tuple) -> Column:
+        """The integral of the baseline's CDF from one place to another, from the values up to each and their sums."""
+        return (b[0] - a[0]) * (a[1] / n) + (b[0] * (b[1] - a[1]) - (b[2] - a[2])) / n
+
+    between = share * (cross[0] - v) - risen(here, cross) + risen(cross, there) - share * (next_v - cross[0])
+    end = (F.col("base_max"), n, F.col("base_s"))
+    behind = F.when(end[0] > v, (end[0] - v) - risen(here, end)).otherwise(F.lit(0.0))
+    before = F.when(F.col("cum_n") == F.col("n"), (v * here[1] - here[2]) / n).otherwise(F.lit(0.0))
+    area = F.when(next_v.isNotNull(), between).otherwise(behind) + before
     gap = F.greatest(F.abs(F.col("cn") / n - share), F.abs(F.col("below") / n - (F.col("cum_n") - F.col("n")) / F.col("total_n")))
     known = n.isNotNull()
     out = cdf.groupBy(*KEYS).agg(
