@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -36,22 +37,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ensure(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage, survives lost executors.
-
-    What a finished write has shuffled is of no further use, so Spark removes it at once.
-    """
-    spark = df.sparkSession
-    path = shared_dir(spark, label)
+@contextmanager
+def without_shuffle_files(spark: SparkSession) -> Iterator[None]:
+    """What an execution in here has shuffled is removed at its end."""
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         if before is None:
             spark.conf.unset(CLEANUP)
         else:
             spark.conf.set(CLEANUP, before)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write to the shared folder and read back: cuts lineage, survives lost executors.
+
+    What a finished write has shuffled is of no further use, so Spark removes it at once.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, label)
+    with without_shuffle_files(spark):
+        df.write.parquet(path)
     out = spark.read.parquet(path)
     out._stored_at = path
     return out

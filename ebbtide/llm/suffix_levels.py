@@ -5,16 +5,16 @@ the smallest hash in it. Equal windows choose equal places, so all matches of a
 with its run. Windows next to each other mostly choose the same suffix; an *entry* is one suffix with the stretch of
 windows that chose it, and entries with the same stretch of bytes are equal.
 
-Documents come in batches. A batch gets its suffix array: its different entries, sorted by run, each with the first
-place that has it, in buckets by run. It is merge-scanned against every level that stands, bucket by bucket and
-without a shuffle: entries whose run the other side has too are noted, as are those that the batch has several times.
-Then it becomes a level of its own, and while the two newest levels are of equal size, they merge. So n batches
-leave at most log2(n) + 1 levels, and an entry is rewritten log2(n) times at most.
-
-Noted entries decide by themselves where their stretches are equal. Where the same run stands in different
-stretches, the texts at their first places are fetched, and a suffix array over those stretches, by doubling the
-length that its ranks cover, tells which of their windows are equal. Runs of very many different stretches go by a
-grouping on the windows themselves instead.
+Documents come in batches. A batch gets its suffix array: its entries, dealt by run into buckets. It is merge-scanned
+against every level that stands, bucket by bucket and without a shuffle: a run that the batch has several times, or that
+a level has too, may belong to a long match and is noted. Then the batch becomes a level of its own, and while the two
+newest levels are of equal size, they merge. So n batches leave at most log2(n) + 1 levels, and a run is rewritten
+log2(n) times at most.
+
+Only entries of noted runs are looked at further. Equal entries decide by themselves which of them is the first. Where
+the same run stands in different stretches, the texts at their first places are fetched and their windows sorted and
+compared as bytes. The stretches of a run that very many have are parted first, by what their windows share beside the
+run, and where even that is shared by very many, the windows themselves are grouped.
 """
 
 from __future__ import annotations
@@ -26,11 +26,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from ebbtide.llm.runtime import buffers, carried, column, discard, ensure, quoted, slices, stored
+from ebbtide.llm.runtime import buffers, carried, column, discard, ensure, quoted, slices, stored, without_shuffle_files
 from ebbtide.llm.wordhash import FACTOR, mixed
 from ebbtide.session import shared_dir
 
@@ -39,7 +39,7 @@ SIZE, RUN = 100, 32
 BATCHES = 4
 #: Bytes of text for each bucket of a level.
 BUCKET_BYTES = 16 << 20
-#: Different stretches of one run beyond which they are compared by grouping.
+#: Different stretches beyond which a run is parted, and pieces beyond which windows are grouped.
 CROWDED = 1000
 #: Bytes of stretches that are ranked at once.
 BLOCK_BYTES = 2 << 20
@@ -47,11 +47,12 @@ BLOCK_BYTES = 2 << 20
 PART = 1 << 20
 #: Bits of a place within a part; the others of a word are the hash by which a suffix is chosen.
 PLACE_BITS = 24
-#: Entries that a task brings together before they are shuffled.
-TOGETHER = 1 << 18
-
-ENTRY = "h long, c long, doc_id long, row long, start int, n int"
-COLUMNS = ("h", "c", "doc_id", "row", "start", "n")
+ENTRY = "h long, c long, doc_id long, row long, start int, shape int"
+COLUMNS = ("h", "c", "doc_id", "row", "start", "shape")
+#: An entry's shape: its windows, and from this bit on how far behind its first window the run lies.
+SHIFT = 16
+#: Setting by which a task writes its few buckets side by side, without sorting for them.
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 U = np.uint64
 
 
@@ -91,7 +92,7 @@ def smallest(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def entries(data: np.ndarray, offsets: np.ndarray, size: int, run: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(text, run's hash, stretch's hash, first window within the text, windows) of every entry, part by part."""
+    """(text, run's hash, stretch's hash, first window within the text, windows, run behind the first window) of every entry, part by part."""
     for at in range(0, max(0, len(data) - size + 1), PART):
         part = data[at:at + PART + size - 1]
         short, long = hashes(part, run, size)
@@ -114,84 +115,57 @@ def entries(data: np.ndarray, offsets: np.ndarray, size: int, run: int) -> Itera
         # The first and the last window cover the whole stretch.
         stretch = mixed(long[first] * FACTOR + long[first + count - 1] + count.astype(np.uint64))
         text = np.searchsorted(offsets, first + at, side="right") - 1
-        yield text, short[place[edge]].view(np.int64), stretch.view(np.int64), first + at - offsets[text], count
+        yield text, short[place[edge]].view(np.int64), stretch.view(np.int64), first + at - offsets[text], count, place[edge] - first
 
 
 def _entries(rows: DataFrame, size: int, run: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
-            for text, h, c, start, n in entries(*buffers(column(piece, "text")), size, run):
+            for text, h, c, start, n, behind in entries(*buffers(column(piece, "text")), size, run):
                 at = pa.array(text)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h), pa.array(c), column(piece, "doc_id").take(at), column(piece, "row").take(at),
-                     pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))], ["h", "c", "doc_id", "row", "start", "n"])
+                     pa.array(start.astype(np.int32)), pa.array((n | behind << SHIFT).astype(np.int32))], list(COLUMNS))
 
     return rows.mapInArrow(work, ENTRY)
 
 
-def _together(found: DataFrame) -> DataFrame:
-    """Equal entries of a task as one, with the first place and whether there were several, before any shuffle."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
-
-        def reduced() -> pa.RecordBatch:
-            names = held[0].schema.names
-            values = [np.concatenate([column(b, c).to_numpy() for b in held]) for c in names]
-            by = dict(zip(names, values))
-            order = np.lexsort((by["start"], by["doc_id"], by["c"], by["h"]))
-            h, c = by["h"][order], by["c"][order]
-            new = np.ones(len(order), bool)
-            new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
-            first = np.flatnonzero(new)
-            many = np.diff(np.append(first, len(order))) > 1
-            return pa.RecordBatch.from_arrays([*(pa.array(v[order[first]]) for v in values), pa.array(many)], [*names, "many"])
-
-        for batch in batches:
-            held.append(batch)
-            rows += batch.num_rows
-            if rows >= TOGETHER:
-                yield reduced()
-                held, rows = [], 0
-        if rows:
-            yield reduced()
-
-    return found.mapInArrow(work, ENTRY + ", many boolean")
-
-
 class SuffixLevels:
-    """The family: its levels, and what the scans have noted so far. Batches may come in any order of ids."""
+    """The family: arrays of the batches, levels of runs, and the runs that the scans have noted."""
 
     def __init__(self, spark: SparkSession, buckets: int, size: int = SIZE, run: int = RUN):
-        if not 1 <= run <= size:
-            raise ValueError("a run lies within a window")
+        if not 1 <= run <= size < 1 << 15:
+            raise ValueError("a run lies within a window of less than 32,768 bytes")
         self.spark, self.buckets, self.size, self.run = ensure(spark), buckets, size, run
-        self.levels: list[tuple[int, DataFrame]] = []  # (batches in it, entries), the newest last
-        self.batches: list[DataFrame] = []  # entries of every batch, in the order of its texts
+        self.levels: list[tuple[int, DataFrame]] = []  # (batches in it, runs), the newest last
+        self.arrays: list[DataFrame] = []  # entries of every batch
         self.noted: list[DataFrame] = []
 
-    def _sorted(self, rows: DataFrame, *more: Column) -> DataFrame:
-        """Equal entries as one, with the first place, stored in buckets by run, so that joins by run need no shuffle."""
-        name, path = f"level_{uuid.uuid4().hex}", shared_dir(self.spark, "level")
-        # One shuffle by run serves the grouping and the buckets.
-        first = F.min_by(F.struct("doc_id", "row", "start", "n"), F.struct("doc_id", "start"))
-        one = rows.repartition(self.buckets, "h").groupBy("h", "c").agg(first.alias("p"), *more)
-        one.select("h", "c", "p.*", *(c for c in one.columns if c not in ("h", "c", "p"))).sortWithinPartitions("h", "c").write.bucketBy(
-            self.buckets, "h").sortBy("h", "c").option("path", path).saveAsTable(name)
+    def _dealt(self, rows: DataFrame, label: str) -> DataFrame:
+        """Stored in buckets by run, so that what is grouped or joined by run needs no shuffle."""
+        name, path = f"{label}_{uuid.uuid4().hex}", shared_dir(self.spark, label)
+        before = self.spark.conf.get(WRITERS, None)
+        self.spark.conf.set(WRITERS, str(self.buckets))
+        try:
+            with without_shuffle_files(self.spark):
+                rows.repartition(self.buckets, "h").write.bucketBy(self.buckets, "h").option("path", path).saveAsTable(name)
+        finally:
+            self.spark.conf.unset(WRITERS) if before is None else self.spark.conf.set(WRITERS, before)
         out = self.spark.table(name)
         out._stored_at, out._name = path, name
         return out
 
-    def _drop(self, level: DataFrame) -> None:
-        self.spark.sql(f"drop table {level._name}")
-        discard(level)
+    def _drop(self, table: DataFrame) -> None:
+        self.spark.sql(f"drop table {table._name}")
+        discard(table)
 
     def _merge(self, a: DataFrame, b: DataFrame) -> DataFrame:
         # By path, not as bucketed tables: Spark 4.1.2 takes a union of those for grouped already.
-        x, y = (self.spark.read.parquet(level._stored_at).select(*COLUMNS) for level in (a, b))
-        out = self._sorted(x.unionByName(y))
-        self._drop(a)
-        self._drop(b)
+        x, y = (self.spark.read.parquet(level._stored_at).select("h") for level in (a, b))
+        out = self._dealt(x.unionByName(y).distinct(), "level")
+        for level in (a, b):
+            if all(level is not array for array in self.arrays):
+                self._drop(level)
         return out
 
     def add(self, rows: DataFrame) -> None:
@@ -199,23 +173,27 @@ class SuffixLevels:
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (n, a), (m, b) = self.levels[-2:]
             self.levels[-2:] = [(n + m, self._merge(a, b))]
-        found = stored(_entries(rows, self.size, self.run), "entries")
-        self.batches.append(found)
-        own = self._sorted(_together(found), (F.max("many") | (F.count("*") > 1)).alias("many"))
-        runs = own.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h")
-        hits = [own.where("many"), own.join(runs, "h", "left_semi")]
+        array = self._dealt(_entries(rows, self.size, self.run), "array")
+        own = array.groupBy("h").agg(F.count("*").alias("k"))
+        hits = [own.where("k > 1").select("h")]
         for _, level in self.levels:
-            hits += [own.join(level.select("h"), "h", "left_semi"), level.join(own.select("h"), "h", "left_semi")]
-        hits = [hit.select(*COLUMNS) for hit in hits]
+            hits.append(own.select("h").join(level.select("h").hint("shuffle_hash"), "h", "left_semi"))
         self.noted.append(stored(functools.reduce(DataFrame.unionByName, hits), "noted"))
-        own_level = own.drop("many")
-        own_level._stored_at, own_level._name = own._stored_at, own._name
-        self.levels.append((1, own_level))
+        self.arrays.append(array)
+        self.levels.append((1, array))
+
+    def _relevant(self) -> DataFrame:
+        """The entries of all noted runs."""
+        noted = stored(functools.reduce(DataFrame.unionByName, self.noted).distinct(), "noted-runs")
+        parts = [array.join(noted.hint("shuffle_hash"), "h", "left_semi").select(*COLUMNS) for array in self.arrays]
+        out = stored(functools.reduce(DataFrame.unionByName, parts), "relevant")
+        discard(noted)
+        return out
 
     def _stretches(self, docs: DataFrame, wanted: DataFrame) -> DataFrame:
         """``wanted`` with the bytes of each stretch, cut out of the texts."""
         size = self.size
-        marks = wanted.groupBy("row").agg(F.collect_list(F.struct("h", "c", "start", "n", "crowded")).alias("marks"))  # at most one for each byte
+        marks = wanted.groupBy("row").agg(F.collect_list(F.struct("h", "c", "start", "n", "behind", "crowded")).alias("marks"))  # at most one for each byte
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -226,12 +204,29 @@ class SuffixLevels:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([m[k] for m in marks]) for k in ("h", "c")]
                         + [pa.array([column(batch, "doc_id")[row].as_py()] * n, pa.int64()), pa.array([m["start"] for m in marks], pa.int32()),
-                           pa.array([m["n"] for m in marks], pa.int32()), pa.array([m["crowded"] for m in marks]),
+                           pa.array([m["n"] for m in marks], pa.int32()), pa.array([m["behind"] for m in marks], pa.int32()),
+                           pa.array([m["crowded"] for m in marks]),
                            pa.array([text[m["start"]:m["start"] + m["n"] + size - 1] for m in marks], pa.binary())],
-                        ["h", "c", "doc_id", "start", "n", "crowded", "bytes"])
+                        ["h", "c", "doc_id", "start", "n", "behind", "crowded", "bytes"])
 
         texts = docs.dropDuplicates(["row"]).join(marks, "row").select("doc_id", "text", "marks")
-        return texts.mapInArrow(cut, "h long, c long, doc_id long, start int, n int, crowded boolean, bytes binary")
+        return texts.mapInArrow(cut, "h long, c long, doc_id long, start int, n int, behind int, crowded boolean, bytes binary")
+
+    def _halves(self, crowded: DataFrame) -> DataFrame:
+        """Two pieces of each stretch of a crowded run, each with ``core``: bytes that all windows of the piece share.
+
+        A window has either the half of what it holds beside the run behind it or more than the half in front of it.
+        Equal windows fall on the same side, with equal cores, which are twice as long as the run and seldom crowded.
+        """
+        half, run = (self.size - self.run) // 2, self.run
+        # Window j of the stretch has the run ``behind - j`` bytes behind its start.
+        edge = F.greatest(F.lit(0), F.least(F.col("n"), F.col("behind") - half))
+        left = F.struct(F.lit(0).alias("skip"), edge.alias("m"), F.expr(f"substring(bytes, behind - {half}, {run + half + 1})").alias("core"))
+        right = F.struct(edge.alias("skip"), (F.col("n") - edge).alias("m"), F.expr(f"substring(bytes, behind + 1, {run + half})").alias("core"))
+        pieces = crowded.select("h", "c", "doc_id", "start", "bytes", F.explode(F.array(left, right)).alias("p")).where("p.m > 0")
+        return pieces.select(
+            F.xxhash64("p.core").alias("shard"), "h", "c", "doc_id", (F.col("start") + F.col("p.skip")).alias("start"), F.col("p.skip").alias("skip"),
+            F.col("p.m").alias("n"), F.expr(f"substring(bytes, p.skip + 1, p.m + {self.size - 1})").alias("bytes"))
 
     def _equal_windows(self, stretches: DataFrame) -> DataFrame:
         """(h, c, at, m): windows of the first place of an entry that an earlier place has within another stretch."""
@@ -240,7 +235,7 @@ class SuffixLevels:
         def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held, bytes_held, last = [], 0, None
             for batch in batches:
-                runs = column(batch, "h").to_numpy()
+                runs = column(batch, "shard").to_numpy()
                 sizes = np.cumsum(column(batch, "n").to_numpy().astype(np.int64) + size - 1)
                 edges = [0, *(np.flatnonzero(runs[1:] != runs[:-1]) + 1).tolist(), len(runs)]
                 for start, edge in zip(edges, edges[1:]):
@@ -254,40 +249,74 @@ class SuffixLevels:
             if held:
                 yield repeated(held, size)
 
-        plain = stretches.where("not crowded").repartition("h").sortWithinPartitions("h")
-        few = plain.mapInArrow(rank, "h long, c long, at int, m int")
-        windows = stretches.where("crowded").select("h", "c", "doc_id", "start", "bytes", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("at"))
-        windows = windows.select("h", "c", "at", F.struct("doc_id", (F.col("start") + F.col("at")).alias("start")).alias("place"),
-                                 F.expr(f"substring(bytes, at + 1, {size})").alias("w"))
+        plain = stretches.where("not crowded").select(F.col("h").alias("shard"), "h", "c", "doc_id", "start", F.lit(0).alias("skip"), "n", "bytes")
+        halves = self._halves(stretches.where("crowded"))
+        full = halves.groupBy("shard").agg(F.count("*").alias("k")).where(F.col("k") > CROWDED).select("shard")
+        sorted_ones = plain.unionByName(halves.join(full, "shard", "left_anti")).repartition("shard").sortWithinPartitions("shard")
+        few = sorted_ones.mapInArrow(rank, "h long, c long, at int, m int")
+        windows = halves.join(full, "shard", "left_semi").select(
+            "h", "c", "skip", "doc_id", "start", "bytes", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j"))
+        windows = windows.select("h", "c", (F.col("skip") + F.col("j")).alias("at"), F.struct("doc_id", (F.col("start") + F.col("j")).alias("start")).alias("place"),
+                                 F.expr(f"substring(bytes, j + 1, {size})").alias("w"))
         firsts = windows.groupBy("w").agg(F.min("place").alias("first"), F.count("*").alias("k")).where("k > 1")
         many = windows.join(firsts, "w").where("first < place").select("h", "c", F.col("at").cast("int"), F.lit(1).alias("m"))
         return few.unionByName(many)
 
     def spans(self, docs: DataFrame) -> DataFrame:
-        """(row, spans): where the texts added so far repeat an earlier place; ``docs`` has (doc_id, row, text) of all of them."""
-        noted = functools.reduce(DataFrame.unionByName, self.noted)
-        first = F.min_by(F.struct("doc_id", "row", "start", "n"), F.struct("doc_id", "start"))
-        known = stored(noted.groupBy("h", "c").agg(first.alias("p")).select("h", "c", "p.*"), "known")
-        runs = known.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h", (F.col("k") > CROWDED).alias("crowded"))
-        wanted = known.join(runs, "h")
-        stretches = stored(self._stretches(docs, wanted), "stretches")
+        """(row, spans): where the texts added so far repeat an earlier place; ``docs`` has (doc_id, row, text) of all of them.
+
+        The arrays and levels are of no further use then and are deleted.
+        """
+        every = self._relevant()
+        self.discard()
+        first = F.min(F.struct("doc_id", "start", "row", "shape"))
+        windows = F.col("shape").bitwiseAND((1 << SHIFT) - 1)
+        known = stored(every.groupBy("h", "c").agg(first.alias("p"), F.count("*").alias("k")).select("h", "c", "p.*", "k"), "known")
+        runs = known.groupBy("h").agg(F.count("*").alias("m")).where("m > 1").select("h", (F.col("m") > CROWDED).alias("crowded"))
+        stretches = stored(self._stretches(docs, known.select(
+            "h", "c", "start", "row", windows.alias("n"), F.shiftright("shape", SHIFT).alias("behind")).join(runs, "h")), "stretches")
         equal = self._equal_windows(stretches).groupBy("h", "c").agg(F.collect_list(F.struct("at", "m")).alias("spans"))
-        known = known.select("h", "c", F.struct("doc_id", "start").alias("first"), "n").join(equal, ["h", "c"], "left")
-        known = stored(known.select("h", "c", "first", "spans"), "decided")
+        decided = known.select("h", "c", F.struct("doc_id", "start").alias("first"), "k").join(equal, ["h", "c"], "left")
+        # An entry that stands once and shares no window has nothing to say.
+        decided = stored(decided.where("k > 1 or spans is not null").select("h", "c", "first", "spans"), "decided")
         discard(stretches)
-        every = functools.reduce(DataFrame.unionByName, self.batches)
-        whole = F.array(F.struct(F.lit(0).alias("at"), F.col("n").alias("m")))
-        found = every.join(known, ["h", "c"]).select(
+        discard(known)
+        whole = F.array(F.struct(F.lit(0).alias("at"), windows.alias("m")))
+        found = every.join(decided, ["h", "c"]).select(
             "row", "start", F.when(F.struct("doc_id", "start") != F.col("first"), whole).otherwise(F.col("spans")).alias("spans"))
         found = found.where("spans is not null").select("row", F.expr("transform(spans, s -> struct(start + s.at as at, s.m as m))").alias("spans"))
-        return found.groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))  # at most one for each byte of the text
+        out = stored(found.groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans")  # at most one for each byte of the text
+        discard(every)
+        discard(decided)
+        return out
 
     def discard(self) -> None:
-        """Delete the levels and all that the scans have stored."""
-        for _, level in self.levels:
-            self._drop(level)
-        for df in (*self.batches, *self.noted):
+        """Delete the arrays, the levels and all that the scans have noted."""
+        for table in {id(t): t for t in (*self.arrays, *(level for _, level in self.levels))}.values():
+            self._drop(table)
+        for df in self.noted:
             discard(df)
+        self.arrays, self.levels, self.noted = [], [], []
+
+
+def equal_numbers(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """A number for each place in ``at``; equal for equal strings of ``size`` bytes from there on, and only for those.
+
+    Strings are sorted by a hash and neighbours with the same hash compared byte by byte; if any two differ, all are
+    ranked by their bytes instead.
+    """
+    h = hashes(data, size)[0][at]
+    order = np.argsort(h)
+    same = h[order][1:] == h[order][:-1]
+    twin = np.flatnonzero(same) + 1
+    strings = np.lib.stride_tricks.sliding_window_view(data, size)
+    for i in range(0, len(twin), 1 << 16):
+        part = twin[i:i + (1 << 16)]
+        if (strings[at[order[part]]] != strings[at[order[part - 1]]]).any():
+            return ranks(data, at, size)
+    out = np.empty(len(at), np.int64)
+    out[order] = np.cumsum(np.concatenate([[True], ~same])) if len(at) else []
+    return out
 
 
 def ranks(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
@@ -308,13 +337,13 @@ def repeated(held: list[pa.RecordBatch], size: int) -> pa.RecordBatch:
     """Windows, as stretches of neighbours, that stand at an earlier place too."""
     table = pa.Table.from_batches(held).combine_chunks()
     get = lambda c: table[c].to_numpy()
-    h, c, doc, start, n = (get(k) for k in ("h", "c", "doc_id", "start", "n"))
+    h, c, doc, start, skip, n = (get(k) for k in ("h", "c", "doc_id", "start", "skip", "n"))
     n = n.astype(np.int64)
     data = np.frombuffer(b"".join(table["bytes"].to_pylist()), np.uint8)
     base = np.cumsum(n + size - 1) - (n + size - 1)
     which = np.repeat(np.arange(len(n)), n)
     at = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-    rank = ranks(data, base[which] + at, size)
+    rank = equal_numbers(data, base[which] + at, size)
     place = start[which] + at
     order = np.lexsort((place, doc[which], rank))
     r, d, p = rank[order], doc[which][order], place[order]
@@ -328,7 +357,7 @@ def repeated(held: list[pa.RecordBatch], size: int) -> pa.RecordBatch:
     begin = np.flatnonzero(edge)
     m = np.diff(np.append(begin, len(again)))
     i = which[again[begin]]
-    return pa.RecordBatch.from_arrays([pa.array(h[i]), pa.array(c[i]), pa.array(at[again[begin]].astype(np.int32)), pa.array(m.astype(np.int32))],
+    return pa.RecordBatch.from_arrays([pa.array(h[i]), pa.array(c[i]), pa.array((skip[i] + at[again[begin]]).astype(np.int32)), pa.array(m.astype(np.int32))],
                                       ["h", "c", "at", "m"])
 
 
@@ -360,8 +389,7 @@ def remove_long_repeats(docs: DataFrame, size: int = SIZE, run: int = RUN, batch
         part = part if low is None else part.where(F.col("doc_id") > low)
         index.add(part if high is None else part.where(F.col("doc_id") <= high))
         low = high
-    spans = stored(index.spans(rows), "spans")
-    index.discard()
+    spans = index.spans(rows)
     user, back = carried(docs, [c for c in names if c != text])
     packed = docs.select(user, the_text.alias("text"), key.alias("row_key"))
     joined = packed.join(spans, packed["row_key"] == spans["row"], "left").select("user", "text", "spans")
