@@ -59,5 +59,18 @@ JACCARD = f"""with recursive d as (select doc_id, {_WORDS} as w from documents),
  select s.doc_id, class_id, len(s.s)::bigint as n_shingles, coalesce(copies.n, 0) as n_copies, coalesce(counts.n, 0) as n_links
  from sets s join classes using (doc_id) left join counts using (doc_id) left join copies using (doc_id)"""
 
+SUFFIXES = """with d as (select doc_id, encode(coalesce(text, '')) as x, octet_length(encode(coalesce(text, '')))::bigint as n from documents),
+ win as (select doc_id, unnest(range(0, greatest(n - 99, 0))) as p, unnest(list_transform(range(0, greatest(n - 99, 0)), lambda i: md5(x[i + 1:i + 100]))) as s from d),
+ firsts as (select s, min({'d': doc_id, 'p': p}) as f from win group by s),
+ gone as (select doc_id, p from win join firsts using (s) where f <> {'d': doc_id, 'p': p}),
+ bytes as (select doc_id, unnest(range(0, n)) as i, unnest(list_transform(range(0, n), lambda i: x[i + 1:i + 1])) as b from d),
+ covered as (select bytes.doc_id, i, b, coalesce(max(p) over (partition by bytes.doc_id order by i) >= i - 99, false) as removed
+  from bytes left join gone on gone.doc_id = bytes.doc_id and gone.p = i),
+ runs as (select *, removed and not coalesce(lag(removed) over (partition by doc_id order by i), false) as start from covered),
+ sums as (select doc_id, count(*) filter (where removed) as n_removed, count(*) filter (where start) as n_spans,
+  string_agg(hex(b), '' order by i) filter (where not removed) as kept from runs group by doc_id)
+ select d.doc_id, n as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(kept, ''))) as kept_sha256
+ from d left join sums on sums.doc_id = d.doc_id"""
+
 ORACLES = {"op1_decontamination": DECONTAMINATION, "op2_jaccard_join": JACCARD, "op3_exact_top_k": TOP_K,
-           "op5_substring_dedup": SUBSTRINGS, "op9_warc": WARC}
+           "op5_substring_dedup": SUBSTRINGS, "op9_warc": WARC, "op12_suffix_dedup": SUFFIXES}
