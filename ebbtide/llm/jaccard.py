@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.runtime import buffers, carried, column, ensure, slices, stored
+from ebbtide.llm.runtime import buffers, carried, column, ensure, marked, slices, stored
 from ebbtide.llm.wordhash import FACTOR, letters, mixed, run_hashes, word_hashes, word_spans
 
 SHINGLE, SIMILAR = 5, (4, 5)
@@ -316,7 +316,8 @@ def jaccard_join(docs: DataFrame, similar: tuple[int, int] = SIMILAR, miss: floa
                                               pa.array([s.tobytes() for s in found], pa.binary())], ["id", "shingles"])
 
     firsts = wanted.select("first").distinct()
-    texts = docs.join(firsts, docs["doc_id"].eqNullSafe(firsts["first"]), "left_semi").select("text")
+    near = marked(docs, F.xxhash64("doc_id"), wanted.select(F.xxhash64("first").alias("key"))).where("may")
+    texts = near.join(firsts, near["doc_id"].eqNullSafe(firsts["first"]), "left_semi").select("text")
     shingles = texts.mapInArrow(gather, "id binary, shingles binary").dropDuplicates(["id"])
     shingles = stored(shingles.join(wanted.select("id", "copies"), "id"), "shingles")
     compared = stored(_compare(members, shingles, similar, block), "compared")
@@ -343,12 +344,14 @@ def keep_one(docs: DataFrame, joined: DataFrame) -> DataFrame:
     rows = joined.groupBy("doc_id", "text_md5").agg(F.count("*").alias("rows"))
     chosen = best.select("best.doc_id", "best.text_md5").distinct().withColumn("chosen", F.lit(True))
     both = rows["doc_id"].eqNullSafe(chosen["doc_id"]) & (rows["text_md5"] == chosen["text_md5"])
-    marked = rows.join(chosen, both, "left").select(rows["doc_id"].alias("_id"), rows["text_md5"].alias("_md5"), "rows", "chosen")
-    # Most rows stay and are alone; only the others are looked up, so a small table decides.
-    odd = stored(marked.where("chosen is null or rows > 1"), "not-kept")
+    found = rows.join(chosen, both, "left").select(rows["doc_id"].alias("_id"), rows["text_md5"].alias("_md5"), "rows", "chosen")
+    # Most rows stay and are alone; only the others are looked up, and the texts of most rows are never shuffled.
+    odd = stored(found.where("chosen is null or rows > 1"), "not-kept")
     user, back = carried(docs, docs.columns)
-    keyed = docs.select(user, F.col("doc_id").alias("the_id"), F.md5(F.coalesce("text", F.lit(""))).alias("_text"))
-    met = keyed.join(odd, keyed["the_id"].eqNullSafe(odd["_id"]) & (keyed["_text"] == odd["_md5"]), "left")
-    plain = met.where("_md5 is null").select("user")
+    keyed = docs.select(user, F.col("doc_id").cast("long").alias("the_id"), F.md5(F.coalesce("text", F.lit(""))).alias("_text"))
+    keyed = marked(keyed, F.xxhash64("the_id", "_text"), odd.select(F.xxhash64("_id", "_md5").alias("key")))
+    asked = keyed.where("may")
+    met = asked.join(odd, asked["the_id"].eqNullSafe(odd["_id"]) & (asked["_text"] == odd["_md5"]), "left")
+    alone = keyed.where("not may").select("user").unionByName(met.where("_md5 is null").select("user"))
     repeated = met.where("chosen").dropDuplicates(["_id", "_text"]).select("user")
-    return plain.unionByName(repeated).select(*back)
+    return alone.unionByName(repeated).select(*back)

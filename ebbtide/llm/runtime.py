@@ -17,6 +17,8 @@ from ebbtide.session import shared_dir
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Bytes of text that numpy steps work on at once; a longer document is a slice of its own.
 SLICE_BYTES = 2 << 20
+#: Bits of a table of keys: 4 MB, whatever the number of keys. Beyond some ten million of them it only holds back less.
+KEY_BITS = 1 << 25
 #: Setting by which Spark removes the shuffle files of an execution at its end.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -85,6 +87,23 @@ def carried(df: DataFrame, names: list[str]) -> tuple[Column, list[Column]]:
     return user, [F.col(f"user.c{i}").alias(c) for i, c in enumerate(names)]
 
 
+def marked(df: DataFrame, key: Column, wanted: DataFrame, bits: int = KEY_BITS) -> DataFrame:
+    """``df`` with a boolean ``may``: false where no row of ``wanted`` has this 64-bit key in its column ``key``.
+
+    A few rows more are true, so a join must follow; but only rows that may meet something take part in it.
+    What is broadcast has at most ``bits`` / 64 short rows.
+    """
+    def bit(slot: str) -> Column:
+        return F.expr(f"shiftleft(1L, cast({slot} % 64 as int))")
+
+    slots = wanted.select(F.pmod("key", F.lit(bits)).alias("slot"))
+    words = slots.groupBy(F.expr("slot div 64").alias("_word")).agg(F.bit_or(bit("slot")).alias("_bits"))
+    asked = df.withColumn("_slot", F.pmod(key, F.lit(bits)))
+    met = asked.join(F.broadcast(words), F.expr("_slot div 64") == F.col("_word"), "left")
+    may = F.coalesce(F.col("_bits").bitwiseAND(bit("_slot")) != 0, F.lit(False))
+    return met.withColumn("may", may).drop("_slot", "_word", "_bits")
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts, one behind the other, and their offsets. Null counts as empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

@@ -6,8 +6,8 @@ the run of five words with the smallest hash in it; equal windows choose equal a
 anchor holds all that its windows can match. Anchors of a single document are left out. A shard is the
 distinct surroundings of its anchor, in the order of the first document that has them: each is streamed
 through the suffix automaton of those before it, whose states know their first document, and its matching
-statistics give the first document of each of its windows. Anchors that very many places share are split
-into one shard for each window.
+statistics give the first document of each of its windows. The windows of an anchor with very many
+different surroundings are grouped one by one instead. However crowded, an anchor has one row for each place.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from ebbtide.llm.runtime import buffers, carried, column, discard, ensure, quote
 from ebbtide.llm.wordhash import blanks, run_hashes, word_hashes, word_spans
 
 WINDOW, ANCHOR = 13, 5
-#: Places beyond which an anchor is split by window.
+#: Different surroundings beyond which the windows of an anchor are grouped one by one.
 CROWDED = 1000
 #: Bits of the table that keeps most anchors of a single document out of the second shuffle, whatever their number.
 FILTER_BITS = 1 << 25
@@ -152,7 +152,7 @@ def _anchors(rows: DataFrame, size: int, run: int, known: np.ndarray | None = No
 
 
 def _surroundings(rows: DataFrame, size: int, run: int) -> DataFrame:
-    """(shard, words, doc_id, row, window): the words around each marked anchor, or each window of a crowded one."""
+    """(shard, key, words, doc_id, row, window): the words around each marked anchor."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
@@ -161,25 +161,43 @@ def _surroundings(rows: DataFrame, size: int, run: int) -> DataFrame:
             texts, out = column(piece, "text"), []
             at = np.searchsorted(text, np.arange(len(docs) + 1)).tolist()
             for i in range(len(docs)):
-                crowded = {m["window"]: m["crowded"] for m in marks[i]}
+                wanted = set(marks[i])
                 words = find_words(texts[i].as_py())
                 for shard, start, n in zip(*(x[at[i]:at[i + 1]].tolist() for x in (anchor, window, count))):
-                    if start in crowded:
-                        parts = [(start + k, 1) for k in range(n)] if crowded[start] else [(start, n)]
-                        for first, m in parts:
-                            out.append((shard, " ".join(words[first:first + m + size - 1]), crowded[start], docs[i], keys[i], first))
+                    if start in wanted:
+                        out.append((shard, " ".join(words[start:start + n + size - 1]), docs[i], keys[i], start))
             if out:
-                kinds = [pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.int32()]
+                kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
-                                                 ["anchor", "words", "crowded", "doc_id", "row", "window"])
+                                                 ["shard", "words", "doc_id", "row", "window"])
 
-    cuts = rows.mapInArrow(cut, "anchor long, words string, crowded boolean, doc_id long, row long, window int")
-    shard = F.when(F.col("crowded"), F.xxhash64("words")).otherwise(F.col("anchor"))
-    return cuts.withColumn("shard", shard).withColumn("key", F.xxhash64(F.lit("key"), F.col("words"))).drop("anchor", "crowded")
+    cuts = rows.mapInArrow(cut, "shard long, words string, doc_id long, row long, window int")
+    return cuts.withColumn("key", F.xxhash64(F.lit("key"), F.col("words")))
 
 
-def _first_documents(distinct: DataFrame, size: int) -> DataFrame:
+def _first_documents(distinct: DataFrame, size: int, crowded: int) -> DataFrame:
     """(shard, key, firsts): for each window of each surrounding, the first document that has it."""
+    crowds = stored(distinct.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > crowded).select("shard"), "crowded")
+    if crowds.isEmpty():
+        return _streamed(distinct, size)
+    return _streamed(distinct.join(crowds, "shard", "left_anti"), size).unionByName(
+        _grouped(distinct.join(crowds, "shard", "left_semi"), size))
+
+
+def _grouped(distinct: DataFrame, size: int) -> DataFrame:
+    """The same by the words of each window; a window that stands in one surrounding alone meets no other row."""
+    words, last = F.split("words", " "), F.size(F.split("words", " ")) - size
+    passages = F.transform(F.sequence(F.lit(0), last), lambda k: F.array_join(F.slice(words, k + 1, size), " "))
+    windows = distinct.select("shard", "key", "first", F.posexplode(passages).alias("at", "passage"))
+    met = windows.groupBy("passage").agg(F.min("first").alias("least"), F.max("first").alias("most")).where("least < most")
+    earlier = windows.join(met.select("passage", "least"), "passage").where("least < first")
+    found = earlier.groupBy("shard", "key").agg(F.map_from_entries(F.collect_list(F.struct("at", "least"))).alias("found"))
+    firsts = F.transform(F.sequence(F.lit(0), last), lambda k: F.coalesce(F.element_at("found", k), "first"))
+    return distinct.join(found, ["shard", "key"], "left").select("shard", "key", firsts.alias("firsts"))
+
+
+def _streamed(distinct: DataFrame, size: int) -> DataFrame:
+    """The same by one automaton for each shard."""
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, automaton = None, None
@@ -219,17 +237,17 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, run: int = ANCHOR, crowd
     rows = docs.where(f"`{doc_id}` is not null and `{text}` is not null").select(
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), key.alias("row"))
     places = _anchors(rows, size, run)
-    shared = stored(places.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).where(
-        "a < b").select("anchor", (F.col("n") > crowded).alias("crowded")), "shared-anchors")
+    shared = stored(places.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor"),
+                    "shared-anchors")
     again = _anchors(rows, size, run, _filter(shared, filter_bits)).select("anchor", "row", "window")
     marks = again.join(shared, "anchor").groupBy("row").agg(
-        F.collect_set(F.struct("window", "crowded")).alias("marks"))  # no more than a text has words
+        F.collect_set("window").alias("marks"))  # no more than a text has words
     marks = stored(marks, "marks")
     cuts = stored(_surroundings(rows.join(marks, "row"), size, run), "surroundings")
     distinct = stored(cuts.groupBy("shard", "key", "words").agg(F.min("doc_id").alias("first")), "shards")
     slim = stored(cuts.select("shard", "key", "doc_id", "row", "window"), "places")
     discard(cuts)
-    firsts = stored(_first_documents(distinct, size), "first-documents")
+    firsts = stored(_first_documents(distinct, size, crowded), "first-documents")
     discard(distinct)
     found = slim.join(firsts, ["shard", "key"])
     found = found.select("row", F.filter(F.transform("firsts", lambda f, k: F.when(f < F.col("doc_id"), F.col("window") + k)),
