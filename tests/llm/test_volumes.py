@@ -1,13 +1,16 @@
-"""What the stages of the pipeline shuffle and write must grow with what they decide on, not with all texts."""
+"""What operators shuffle, write and hold must grow with what they decide on, not with all texts."""
 
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from ebbtide.llm import substrings
+from ebbtide.llm import alignment, substrings
+from ebbtide.llm.encoder import BPE_50K
 from ebbtide.llm.jaccard import jaccard_join, keep_one
 from ebbtide.llm.runtime import marked
 from ebbtide.llm.substrings import remove_repeats
@@ -77,3 +80,29 @@ def test_a_common_passage_has_one_row_for_each_anchor(spark, monkeypatch):
         assert Counter(got) == want
     few, plain = counts["places"]
     assert few == plain < 40 * 48 / 2
+
+
+class Rows:
+    """Stands for a frame and gives the function that its tasks run."""
+
+    def mapInArrow(self, work, schema):
+        return work
+
+
+def test_alignment_holds_little_of_a_batch():
+    """Executors ran out of memory where two workers each held hundreds of bytes for every byte of 2 MB."""
+    rnd = random.Random(3)
+    words = [prose(rnd, 1) for _ in range(500)] + ["the", "of", "and"] * 200
+    texts = [" ".join(rnd.choices(words, k=300)) for _ in range(1500)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    work = alignment._blocks(Rows(), BPE_50K, alignment.PIECES_32K, alignment.BLOCK_BYTES)
+    alignment.aligner(BPE_50K, alignment.PIECES_32K)
+    assert batch.nbytes > 2 << 20
+    tracemalloc.start()
+    try:
+        blocks = list(work(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(len(b["doc_id"][0]) for b in blocks) == len(texts)
+    assert peak < 100 << 20, peak
