@@ -91,3 +91,38 @@ def test_plan_of_buckets():
     tables, bits = rt.plan_buckets(cosines, 1_000_000, 0.95)
     assert 1 - (1 - rt.collision(0.8, bits)) ** tables >= 0.95 and bits > 5
     assert rt.plan_buckets(np.full(5, -0.999), 1000, 0.99) == (1, 0) or rt.plan_buckets(np.full(5, -0.999), 1000, 0.99)[1] <= 1
+
+
+def test_blocks_find_the_same(spark, monkeypatch):
+    """Null, equal and zero vectors, ids that repeat; several blocks of queries and pieces of items."""
+    rng = np.random.default_rng(6)
+    items = np.vstack([rng.normal(size=(300, 8)), np.zeros((2, 8))])
+    items[200:240] = items[7]
+    rows = [(k, v.tolist()) for k, v in enumerate(items)] + [(5, items[9].tolist()), (999, None)]
+    i = spark.createDataFrame(rows, "item_id long, vector array<double>").repartition(3)
+    q = i.filter("item_id % 9 = 0").withColumnRenamed("item_id", "query_id")
+    monkeypatch.setattr(rt, "FIRST_ITEMS", 3)
+    want = []
+    for a, v in rows:
+        if a % 9 == 0 and v is not None:
+            norm = max(np.linalg.norm(v), 1e-300)
+            scores = [(-round(float(np.dot(v, w) / norm / max(np.linalg.norm(w), 1e-300)), 9) + 0.0, b) for b, w in rows if w is not None]
+            want += [(a, b) for _, b in sorted(scores)[:6]]
+    for block in (4096, 7):
+        got = [(r.query_id, r.item_id) for r in rt.vector_topk(q, i, 6, block=block).collect()]
+        assert sorted(got) == sorted(want)
+
+
+def test_approximate_search_makes_no_pairs(spark):
+    """Pairs that share a bucket stay in the task that finds them: rows grow with queries, not with pairs."""
+    rng = np.random.default_rng(8)
+    close = rng.normal(size=16) + 0.05 * rng.normal(size=(600, 16))  # all in the same buckets
+    i = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(close)], "item_id long, vector array<double>").repartition(2)
+    buckets = rt.Buckets.draw(4, 2, 16)
+    rows = [(r.query_id, r.item_id) for r in rt._scan([(k, v) for k, v in enumerate(close[:200].tolist())], i, 3, True, buckets).collect()]
+    assert len(rows) <= 2 * 200 * 3
+    same = {(a, b) for a in range(200) for b in range(600) if (buckets.of(close[[a]]) == buckets.of(close[[b]])).any()}
+    assert same.issuperset(rows)
+    q = i.filter("item_id < 200").withColumnRenamed("item_id", "query_id")
+    exact, near = ({(r.query_id, r.item_id) for r in f(q, i, 3).collect()} for f in (rt.vector_topk, rt.approximate_topk))
+    assert len(exact & near) >= 0.9 * len(exact)
