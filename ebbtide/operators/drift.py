@@ -148,14 +148,14 @@ def numeric_distances(compared: Compared) -> DataFrame:
     # Baseline values up to v, their sum, and those below v.
     cn, cs = F.coalesce("b.cum_n", F.lit(0)), F.coalesce("b.cum_s", F.lit(0.0))
     below = F.when(F.col("b.value") == F.col("value"), cn - F.col("b.n")).otherwise(cn)
-    seen = seen.select(*KEYS, "value", "n", cn.alias("cn"), cs.alias("cs"), below.alias("below"))
+    seen = materialize_once(seen.select(*KEYS, "value", "n", cn.alias("cn"), cs.alias("cs"), below.alias("below")), "drift-seen")
     cdf = ordered_prefix(seen, KEYS, "value", ["n"], carry=("cn", "cs", "below"), ahead=("cn", "cs"), rows=rows)
     totals = compared.prefix.groupBy(*SIDE).agg(
         F.max("total_n").alias("base_n"), F.max("total_s").alias("base_s"), F.max("value").alias("base_max"))
     cdf = join_by(cdf, totals, SIDE, "left")
     # The rank at which the baseline reaches the window's share, and the value there.
     reach = F.ceil(F.col("cum_n").cast("decimal(19,0)") * F.col("base_n").cast("decimal(19,0)") / F.col("total_n").cast("decimal(19,0)"))
-    cdf = cdf.withColumn("rank", (reach - 1).cast("bigint"))
+    cdf = materialize_once(cdf.withColumn("rank", (reach - 1).cast("bigint")), "drift-cdf")
     ranks = compared.prefix.select(*SIDE, (F.col("cum_n") - F.col("n")).alias("rank"), F.col("value").alias("at"), "cum_n", "cum_s")
     cdf = carry_at(ranks, cdf.filter(F.col("rank").isNotNull()), SIDE, "rank", "x", rows).unionByName(
         cdf.filter(F.col("rank").isNull()), allowMissingColumns=True)

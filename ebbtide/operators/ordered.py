@@ -9,7 +9,8 @@ number of rows, so that a slice holds some 100,000 at most; where one level of s
 is not enough, slices are cut into slices. Their totals are summed level by level over
 a few hundred rows each, and the running sum inside a slice is a window partitioned by
 slice. The slice of a value is a fixed function of the group's values, so a recomputed
-task puts every row where it was before, and the result is exact.
+task puts every row where it was before, and the result is exact. Edges and totals are
+small and are stored, so that a plan holds the rows it orders once.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.functions.columns import join_by
+from ebbtide.sources.sinks import materialize_once
 
 #: Rows that one slice may hold, about.
 SLICE_ROWS = 100_000
@@ -48,6 +50,11 @@ def slice_edges(df: DataFrame, by: list[str], value: str, cells: int) -> DataFra
     return picked.groupBy(*by).agg(F.sort_array(F.collect_list(value)).alias("_edges"))
 
 
+def _stored_edges(df: DataFrame, by: list[str], value: str, cells: int) -> DataFrame:
+    """The edges, written: a plan that holds them again for each level and step doubles with each of them."""
+    return materialize_once(slice_edges(df, by, value, cells), "slice-edges")
+
+
 def _sliced(df: DataFrame, edges: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
     v = F.col(value)
     return join_by(df, edges, by, "left").withColumn(
@@ -94,7 +101,7 @@ def ordered_prefix(
     names = [f"_cell{i}" for i in range(len(levels))]
     for i, n in enumerate(levels):
         keys = [*by, *names[:i]]
-        df = _sliced(df, slice_edges(df, keys, value, n), keys, value, names[i])
+        df = _sliced(df, _stored_edges(df, keys, value, n), keys, value, names[i])
     keys = [*by, *names]
     inside = Window.partitionBy(*keys).orderBy(value)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -104,7 +111,8 @@ def ordered_prefix(
             *by, value, *sums, *carry, *[F.sum(s).over(upto).alias(f"cum_{s}") for s in sums],
             *[F.sum(s).over(whole).alias(f"total_{s}") for s in sums], F.lead(next_row).over(inside).alias("_n"))
     else:
-        totals = df.groupBy(*keys).agg(*[F.sum(s).alias(f"_cell_{s}") for s in sums], F.min(next_row).alias("_first"))
+        totals = materialize_once(
+            df.groupBy(*keys).agg(*[F.sum(s).alias(f"_cell_{s}") for s in sums], F.min(next_row).alias("_first")), "slice-totals")
         summed = join_by(df, _offsets(totals, by, names, sums), keys).select(
             *by, value, *sums, *carry, *[(F.col(f"_before_{s}") + F.sum(s).over(upto)).alias(f"cum_{s}") for s in sums],
             *[F.col(f"total_{s}") for s in sums], F.coalesce(F.lead(next_row).over(inside), F.col("_ahead")).alias("_n"))
@@ -172,12 +180,12 @@ def carry_at(
     names = [f"_cell{i}" for i in range(len(levels))]
     for i, n in enumerate(levels):
         keys = [*by, *names[:i]]
-        both = _sliced(both, slice_edges(both, keys, "_v", n), keys, "_v", names[i])
+        both = _sliced(both, _stored_edges(both, keys, "_v", n), keys, "_v", names[i])
     keys = [*by, *names]
     inside = Window.partitionBy(*keys).orderBy("_v", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     near = F.last("_mark", ignorenulls=True).over(inside)
     if levels:
-        last = both.groupBy(*keys).agg(F.max("_mark").alias("_last"))
+        last = materialize_once(both.groupBy(*keys).agg(F.max("_mark").alias("_last")), "slice-marks")
         both = join_by(both, _carries(last, by, names), keys)
         near = F.coalesce(near, F.col("_carry"))
     found = both.withColumn("_at", near).filter(F.col("_kind") == 1)

@@ -71,3 +71,22 @@ def test_a_null_group_is_a_group(spark):
     df = spark.createDataFrame([(None, 3.0), (None, 4.0), ("a", 1.0)], "g string, v double")
     got = {r.g: (r.distinct_count, r.median) for r in column_profile(df, ["g"], ["v"]).collect()}
     assert got == {None: (2, 3.5), "a": (1, 1.0)}
+
+
+def test_plan_stays_small(spark, monkeypatch):
+    """Levels of slices do not double the plan: edges and totals are read back, rows stand in it once or twice."""
+    from ebbtide.operators import drift as dr
+    from ebbtide.operators import ordered
+
+    monkeypatch.setattr(ordered, "SLICE_ROWS", 8)
+    monkeypatch.setattr(ordered, "CELLS", 8)
+    leaves = lambda d: d._jdf.queryExecution().analyzed().collectLeaves().size()
+    df = spark.range(40).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("v"), F.lit(1).alias("n"))
+    assert len(ordered.slice_levels(40)) == 3
+    summed = ordered.ordered_prefix(df, ["g"], "v", ["n"], rows=40)
+    assert leaves(summed) <= 10
+    assert sorted((r.g, r.v, r.cum_n) for r in summed.collect()) == sorted((i % 2, float(i), i // 2 + 1) for i in range(40))
+    assert leaves(ordered.carry_at(df, df.select("g", "v"), ["g"], "v", "m", rows=40)) <= 13
+    monkeypatch.setattr(ordered, "SLICE_ROWS", 20)
+    rows = spark.range(20).select(F.lit(None).cast("timestamp_ntz").alias("window"), (F.col("id") * 1.5).alias("v"))
+    assert leaves(dr.numeric_distances(dr.compare(rows, rows, ["v"]))) <= 10
