@@ -27,8 +27,8 @@ def scan_by_identifier(t):
 @query("scan_binary_files")
 def scan_binary_files(t):
     files = tables.scan_binary_files(t.spark, t.root, "*.parquet", content=True)
-    return files.select(F.regexp_extract("path", "([^/]+)$", 1).alias("file_name"), "length",
-                        F.octet_length("content").cast("bigint").alias("content_length"), F.md5("content").alias("content_md5"))
+    return tables.file_digests(files).select(
+        F.regexp_extract("path", "([^/]+)$", 1).alias("file_name"), "length", "content_length", "content_md5")
 
 
 @query("file_metadata", """select page_id, url, octet_length(encode(html))::bigint as length,

@@ -51,3 +51,28 @@ def test_binary_files_are_read(spark, db, tmp_path):
         want = db.execute(f"""select parse_filename(filename), size, octet_length(content), md5(content)
  from read_blob('{folder}/**/*.parquet')""").fetchall()
         assert sorted(got) == sorted(want) and len(got) > 0
+
+
+def test_large_files_are_read_in_order(spark, tmp_path, monkeypatch):
+    """Files that are no single value: many splits, with and without a last line break, a byte order mark, odd names."""
+    import hashlib
+    import random
+
+    from ebbtide.sources import tables
+
+    monkeypatch.setattr(tables, "WHOLE_BYTES", 1000)
+    monkeypatch.setattr(tables, "FILES_AT_ONCE", 3)
+    draw = random.Random(3)
+    noise = draw.randbytes(300_000)
+    files = {"a.bin": noise, "b [1]{x}*.bin": noise + b"\n", "c.bin": b"\xef\xbb\xbf" + noise, "d.bin": b"\xef\xbb\xbf" + noise + b"\n\n",
+             "e.bin": b"\r\n" * 4000, "f.bin": bytes(5000), "g.bin": noise[:900], "i%20j k.bin": noise[:7000], "k.gz": noise[:3000]}
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7001")
+    try:
+        got = tables.file_digests(tables.scan_binary_files(spark, str(tmp_path), "*", content=True)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = sorted((len(d), len(d), hashlib.md5(d).hexdigest()) for d in files.values())
+    assert sorted((r.length, r.content_length, r.content_md5) for r in got) == want
