@@ -126,3 +126,26 @@ def test_approximate_search_makes_no_pairs(spark):
     q = i.filter("item_id < 200").withColumnRenamed("item_id", "query_id")
     exact, near = ({(r.query_id, r.item_id) for r in f(q, i, 3).collect()} for f in (rt.vector_topk, rt.approximate_topk))
     assert len(exact & near) >= 0.9 * len(exact)
+
+
+def test_few_pairs_are_scored_exactly(monkeypatch):
+    """Once there is a score to beat, a task scores and sorts only what may beat it."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(20_000, 16))
+    asked = [(k, v) for k, v in enumerate(vectors[:50].tolist())]
+    seen, dots = [], rt._dots
+    monkeypatch.setattr(rt, "_dots", lambda q, i, rows, columns: (seen.append(len(rows)), dots(q, i, rows, columns))[1])
+
+    class Items:
+        def mapInArrow(self, work, schema):
+            flat = pa.array(vectors.ravel())
+            column = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, 16), pa.int32()), flat)
+            return [*work([pa.RecordBatch.from_arrays([pa.array(np.arange(len(vectors))), column], ["item_id", "vector"])])]
+
+    (found,) = rt._scan(asked, Items(), 3, True)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    want = [j for q in unit[:50] for j in np.lexsort((np.arange(len(unit)), -(unit @ q).round(9)))[:3]]
+    assert found.column(1).to_pylist() == want
+    assert sum(seen) < 0.02 * 50 * len(vectors)
