@@ -149,3 +149,19 @@ def test_few_pairs_are_scored_exactly(monkeypatch):
     want = [j for q in unit[:50] for j in np.lexsort((np.arange(len(unit)), -(unit @ q).round(9)))[:3]]
     assert found.column(1).to_pylist() == want
     assert sum(seen) < 0.02 * 50 * len(vectors)
+
+
+def test_index_holds_what_is_asked(spark):
+    """Postings of the wanted terms only, lengths of all words; the counts behind them are not left over."""
+    import os
+
+    articles = spark.createDataFrame([(1, "a b b c"), (2, "b d e"), (None, "a e"), (2, "b")], "article_id long, text string")
+    whole = se.build_index(articles, "article_id", "text")
+    folder = os.path.dirname(whole.postings.inputFiles()[0].removeprefix("file:"))
+    left = lambda: {f for f in os.listdir(os.path.dirname(folder)) if f.startswith("search-terms")}
+    before = left()
+    some = se.build_index(articles, "article_id", "text", spark.createDataFrame([("b",), ("e",), ("x",), ("b",)], "term string"))
+    rows = lambda d: sorted(((r.article or 0, r.term, tuple(r.block), round(r.w, 9), round(r.norm, 9)) for r in d.collect()))
+    assert rows(some.postings) == [r for r in rows(whole.postings) if r[1] in ("b", "e")] and len(rows(some.postings)) == 4
+    assert some.rarity.count() == whole.rarity.count() == 5
+    assert left() == before
